@@ -4,13 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import encode
+from quern.llm import encode, site_lines, split
 from quern.runtime import table
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_lines.repeated_lines(table(spark, sf_dir, "raw_corpus"))
+
+
+def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record's text without the lines repeated in its source."""
+    raw = table(spark, sf_dir, "raw_corpus")
+    return site_lines.without_lines(raw, site_lines.repeated_lines(raw))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.piece_faults(table(spark, sf_dir, "embeddings_chunks"), table(spark, sf_dir, "raw_corpus"))
+
+
+def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every oversized record, cut anew."""
+    return split.split_texts(table(spark, sf_dir, "raw_corpus"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p8_ids": p8_ids}
+QUERIES = {
+    "p3_found": p3_found,
+    "p3_clean": p3_clean,
+    "p6_found": p6_found,
+    "p6_pieces": p6_pieces,
+    "p8_ids": p8_ids,
+}
 ORACLES: dict[str, str] = {}
