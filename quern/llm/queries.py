@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import encode, site_lines, split
+from quern.llm import encode, leakage, site_lines, split
 from quern.runtime import table
 
 
@@ -31,11 +31,16 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf_dir, "documents"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_clean": p3_clean,
     "p6_found": p6_found,
     "p6_pieces": p6_pieces,
     "p8_ids": p8_ids,
+    "p9_found": p9_found,
 }
 ORACLES: dict[str, str] = {}
