@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import encode, leakage, site_lines, split
+from quern.llm import encode, leakage, site_lines, split, vectors
 from quern.runtime import table
 
 
@@ -31,6 +31,15 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf_dir, "documents"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.mutual_pairs(table(spark, sf_dir, "embeddings_chunks"))
+
+
+def p7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to five close vectors of other records for every vector, with cosine and rank."""
+    return vectors.near_pairs(table(spark, sf_dir, "embeddings_chunks"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -40,6 +49,8 @@ QUERIES = {
     "p3_clean": p3_clean,
     "p6_found": p6_found,
     "p6_pieces": p6_pieces,
+    "p7_found": p7_found,
+    "p7_neighbours": p7_neighbours,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
 }
