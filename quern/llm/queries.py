@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import encode, leakage, site_lines, split, vectors
+from quern.llm import encode, leakage, sentences, site_lines, split, vectors
 from quern.runtime import table
 
 
@@ -44,6 +44,10 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.sentence_units(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_clean": p3_clean,
@@ -53,5 +57,6 @@ QUERIES = {
     "p7_neighbours": p7_neighbours,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
+    "p10_found": p10_found,
 }
 ORACLES: dict[str, str] = {}
