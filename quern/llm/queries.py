@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import encode, leakage, sentences, site_lines, split, vectors
+from quern.llm import encode, leakage, quality, sentences, site_lines, split, vectors
 from quern.runtime import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.text_kinds(table(spark, sf_dir, "raw_corpus"))
+
+
+def p1_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every statistic of every record, with the probability of each kind."""
+    return quality.text_statistics(table(spark, sf_dir, "raw_corpus"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.repeated_lines(table(spark, sf_dir, "raw_corpus"))
 
@@ -49,6 +58,8 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_statistics": p1_statistics,
     "p3_found": p3_found,
     "p3_clean": p3_clean,
     "p6_found": p6_found,

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.llm.chars import DIGIT, LETTER, MARK, SPACE, classes, codes, slices
+from quern.llm.sampling import bounded_rows
 
 #: Documents the model is fitted on, at most; and the candidates taken from them.
 TRAIN_DOCS, TRAIN_CHARS = 2_000, 2_000_000
@@ -384,12 +385,12 @@ def unit_ends(texts: list[str], model: Chain) -> tuple[np.ndarray, np.ndarray]:
 def training_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> list[str]:
     """At most ``rows`` texts and ``chars`` characters: those with the smallest hash of their id."""
     out, size = [], 0
-    few = df.where(F.length(text_col).between(1, 20_000)).orderBy(F.xxhash64(id_col), id_col).select(text_col).limit(rows)
-    for (text,) in few.collect():
-        if size + len(text) > chars:
+    few = df.where(F.length(text_col).between(1, 20_000))
+    for row in bounded_rows(few, id_col, text_col, rows=rows):
+        size += len(row[2])
+        if size > chars:
             break
-        out.append(text)
-        size += len(text)
+        out.append(row[2])
     return out
 
 
