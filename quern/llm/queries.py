@@ -45,8 +45,8 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Up to five close vectors of other records for every vector, with cosine and rank."""
-    return vectors.near_pairs(table(spark, sf_dir, "embeddings_chunks"))
+    """The five most similar vectors of other records for every vector, with cosine and rank."""
+    return vectors.neighbours(table(spark, sf_dir, "embeddings_chunks"))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,63 @@
+import numpy as np
+import pytest
+
+from quern.llm import vectors
+
+SCHEMA = "id string, record_id string, embedding array<double>"
+
+
+def brute(ids, recs, x, k=5):
+    """{id: [(other, cosine)]} by comparing all pairs."""
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    s = np.round(u @ u.T, 6)
+    out = {}
+    for i, name in enumerate(ids):
+        others = [(-s[i, j], ids[j]) for j in range(len(ids)) if recs[j] != recs[i]]
+        out[name] = [(o, -c) for c, o in sorted(others)[:k]]
+    return out
+
+
+def found(rows):
+    out = {}
+    for r in sorted(rows, key=lambda r: (r.id, r["rank"])):
+        out.setdefault(r.id, []).append((r.other, r.cosine))
+    return out
+
+
+def test_neighbours_without_cosine_cut(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1500, 64))
+    ids, recs = [f"v{i:04d}" for i in range(1500)], [f"r{i // 2}" for i in range(1500)]
+    rows = [(i, r, v.tolist()) for i, r, v in zip(ids, recs, x)]
+    got = found(vectors.neighbours(spark.createDataFrame(rows + rows[:50], SCHEMA), probes=154).collect())
+    want = brute(ids, recs, x)
+    assert {i: [o for o, _ in v] for i, v in got.items()} == {i: [o for o, _ in v] for i, v in want.items()}
+    assert all(abs(a[1] - b[1]) < 2e-6 for i in want for a, b in zip(got[i], want[i]))
+
+
+def test_neighbours_of_every_member_of_a_class(spark):
+    rng = np.random.default_rng(4)
+    same = rng.normal(size=64)
+    x = np.concatenate([np.repeat(same[None, :], 80, 0), rng.normal(size=(40, 64))])
+    ids, recs = [f"v{i:04d}" for i in range(120)], [f"r{i // 8}" for i in range(120)]
+    df = spark.createDataFrame([(i, r, v.tolist()) for i, r, v in zip(ids, recs, x)], SCHEMA)
+    got, want = found(vectors.neighbours(df).collect()), brute(ids, recs, x)
+    assert {i: [o for o, _ in v] for i, v in got.items()} == {i: [o for o, _ in v] for i, v in want.items()}
+
+
+def test_neighbours_of_nothing(spark):
+    rows = [("a", "r", None), ("b", "s", [0.0] * 64), ("c", "t", [1.0] * 32)]
+    assert vectors.neighbours(spark.createDataFrame(rows, SCHEMA)).collect() == []
+    assert vectors.neighbours(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("size", ["sf0.01"])
+def test_recall_of_true_neighbours(spark, size):
+    df = spark.read.parquet(f"/root/testdata/{size}/embeddings_chunks.parquet")
+    got = found(vectors.neighbours(df).collect())
+    rows = {r.id: r for r in df.collect() if r.embedding and len(r.embedding) == 64 and any(r.embedding)}
+    ids = sorted(rows)
+    want = brute(ids, [rows[i].record_id for i in ids], np.array([rows[i].embedding for i in ids]))
+    true = [(i, o) for i in want for o, _ in want[i]]
+    assert sum(o in dict(got.get(i, [])) for i, o in true) >= 0.9 * len(true)
+    assert all(len(v) == 5 for v in got.values()) and set(got) == set(ids)
