@@ -2,9 +2,9 @@
 
 Texts up to ``long_chars`` code points are encoded in one call per text, inside one Arrow pass and without
 a shuffle. A longer text is cut into leaves that are encoded in parallel tasks; the leaves' results are then
-concatenated pairwise as a tree. At each join the text is scanned again from the start of the last
-pre-token on the left until a pre-token start on the right is met (from there on both scans agree, as the
-scan only looks ahead). Where one pre-token runs across the join (text without any split), a window of
+concatenated pairwise as a tree. At each join the text is scanned again from the last pre-token start on the
+left that the text behind the join cannot move (the scan looks less than ``AHEAD`` characters past a pre-token's
+end) until a pre-token start on the right is met (from there on both scans agree, as the scan only looks ahead). Where one pre-token runs across the join (text without any split), a window of
 tokens around the join is re-encoded and grown until both of its ends form valid token pairs with the
 tokens kept outside; a sequence whose adjacent pairs are all valid is the one the whole text encodes to.
 
@@ -28,11 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VOCAB = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-LONG_CHARS = 65_536
 LEAF_CHARS = 16_384
+LONG_CHARS = LEAF_CHARS
 #: Fixed value: the split pattern of the byte-level vocabularies.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
+#: Pre-tokens that end so many characters before the end of a text stay what they are whatever follows it.
+AHEAD = 3
+
 
 @functools.lru_cache(maxsize=4)
 def coder(vocab: str = VOCAB):
@@ -86,22 +89,27 @@ def concat(a: Node, b: Node, vocab: str = VOCAB) -> Node:
     enc = coder(vocab)
     text = a.text + b.text
     edge = len(a.text)
-    at = edge - a.spans[-1]
+    last = edge - a.spans[-1]
+    at, known, i = edge, {}, len(a.spans)
+    while i and at > edge - AHEAD:
+        i -= 1
+        known[at - a.spans[i], at] = a.ids[i]
+        at -= a.spans[i]
     starts, pos = {}, edge
-    for i, n in enumerate(b.spans):
-        starts[pos] = i
+    for j, n in enumerate(b.spans):
+        starts[pos] = j
         pos += n
-    spans, ids = a.spans[:-1], a.ids[:-1]
+    spans, ids = a.spans[:i], a.ids[:i]
     first_right = edge + b.spans[0]
     for m in _SCAN.finditer(text, at):
         if m.start() in starts:
-            i = starts[m.start()]
-            return Node(text, spans + b.spans[i:], ids + b.ids[i:])
+            j = starts[m.start()]
+            return Node(text, spans + b.spans[j:], ids + b.ids[j:])
         spans.append(m.end() - m.start())
-        if m.start() == at and m.end() == first_right:
+        if m.span() in known:
+            ids.append(known[m.span()])
+        elif m.span() == (last, first_right):
             ids.append(join_tokens(a.ids[-1], b.ids[0], vocab))
-        elif m.start() == at and m.end() == edge:
-            ids.append(a.ids[-1])
         else:
             ids.append(enc._encode_single_piece(m.group()))
     return Node(text, spans, ids)
