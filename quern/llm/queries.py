@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import encode, leakage, quality, sentences, site_lines, split, vectors
+from quern.llm import encode, languages, leakage, quality, sentences, site_lines, split, vectors
 from quern.runtime import table
 
 
@@ -27,6 +27,15 @@ def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.without_lines(raw, site_lines.repeated_lines(raw))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.unnamed_languages(table(spark, sf_dir, "raw_corpus"))
+
+
+def p4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every long line of natural prose, with its confidence."""
+    return languages.line_languages(table(spark, sf_dir, "raw_corpus")).distinct()
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.piece_faults(table(spark, sf_dir, "embeddings_chunks"), table(spark, sf_dir, "raw_corpus"))
 
@@ -62,6 +71,8 @@ QUERIES = {
     "p1_statistics": p1_statistics,
     "p3_found": p3_found,
     "p3_clean": p3_clean,
+    "p4_found": p4_found,
+    "p4_lines": p4_lines,
     "p6_found": p6_found,
     "p6_pieces": p6_pieces,
     "p7_found": p7_found,
