@@ -81,7 +81,7 @@ class LineKinds:
         np.maximum.at(last_alpha, lines.w_line[at], at)
         ok = last_alpha >= 1
         la = np.maximum(last_alpha, 1)
-        tail = ok & name[la] & (name[la - 1] & (lines.w_line[la - 1] == np.arange(len(chars))))
+        tail = ok & name[la] & (name[la - 1] & (lines.w_line[la - 1] == np.arange(len(chars)))) if len(name) > 1 else ok
         link = lines.per_line(np.isin(c, (0xBB, 0x3E, 0x7C, 0xA9)) & True) > 0
         long_enough = ((unspaced >= 18) & (lines.ended | (chars > 40))) | (other_script & (spaced >= 5) & (lines.ended | (chars > 80)))
         sentence = (spaced >= 7) & (lines.common >= 0.35 * spaced) & (lines.ended | (chars > 100))
@@ -249,20 +249,22 @@ def fitted(df: DataFrame) -> QualityModel:
     return fit(training_texts(df))
 
 
-def _scan(df: DataFrame, columns: list[str], schema: str, model: QualityModel, each) -> DataFrame:
-    """One pass over (id, text, columns): ``each(lines, stats, batch rows) -> dict of output columns``."""
+def _scan(df: DataFrame, columns: list[str], schema: str, model: QualityModel, each, empty: bool = False) -> DataFrame:
+    """One pass over (id, text, columns): ``each(lines, stats, batch rows) -> dict of output columns``; null and
+    empty texts only where ``empty`` is set."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         member = own.member()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = [t or "" for t in batch.column(1).to_pylist()]
             for first, run in slices(texts):
                 lines = Lines(run, member)
                 yield each(own, lines, statistics(lines), batch.slice(first, len(run)))
 
-    return df.select("id", "text", *columns).where("id is not null and text is not null and text <> ''").mapInArrow(scan, schema)
+    rows = df.select("id", "text", *columns).where("id is not null")
+    return (rows if empty else rows.where("text is not null and text <> ''")).mapInArrow(scan, schema)
 
 
 def text_kinds(df: DataFrame, model: QualityModel | None = None, tolerance: float = TOLERANCE) -> DataFrame:
@@ -285,13 +287,14 @@ def text_kinds(df: DataFrame, model: QualityModel | None = None, tolerance: floa
 
 
 def text_statistics(df: DataFrame, model: QualityModel | None = None) -> DataFrame:
-    """(id, every statistic, probability of each kind) of each record that has text."""
+    """(id, every statistic, probability of each kind) of each record; all are 0 for null and empty texts."""
     model = model or fitted(df)
     schema = ", ".join(["id string", *(f"{n} double" for n in STATS), *(f"p_{k} double" for k in KINDS)])
 
     def each(own: QualityModel, lines: Lines, stats: np.ndarray, rows: pa.RecordBatch) -> pa.RecordBatch:
-        p = own.trees.predict(stats[:, SEEN])
+        some = stats[:, :1] > 0
+        stats, p = np.where(some, stats, 0.0), np.where(some, own.trees.predict(stats[:, SEEN]), 0.0)
         cols = [rows.column(0).cast(pa.string()), *(pa.array(stats[:, i]) for i in range(stats.shape[1])), *(pa.array(p[:, i]) for i in range(4))]
         return pa.RecordBatch.from_arrays(cols, names=["id", *STATS, *(f"p_{k}" for k in KINDS)])
 
-    return _scan(df, [], schema, model, each).dropDuplicates(["id"])
+    return _scan(df, [], schema, model, each, empty=True).dropDuplicates(["id"])

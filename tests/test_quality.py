@@ -1,0 +1,14 @@
+from quern.llm import quality
+
+
+def test_statistics_of_every_record(spark):
+    rows = [("a", None), ("b", ""), ("c", "The mill closed in 1931. Nobody in the valley had expected it."), ("a", None), (None, "x")]
+    got = {r.id: r for r in quality.text_statistics(spark.createDataFrame(rows, "id string, text string")).collect()}
+    assert set(got) == {"a", "b", "c"}
+    assert all(v == 0 for i in "ab" for v in got[i][1:])
+    assert got["c"].char_count == 62 and got["c"].p_prose > 0
+
+
+def test_only_empty_texts(spark):
+    df = spark.createDataFrame([("a", None), ("b", "")], "id string, text string")
+    assert quality.text_statistics(df).count() == 2
