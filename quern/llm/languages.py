@@ -7,9 +7,8 @@ stretches of the corpus's own prose: a bounded sample of records is split in two
 (lines on whose language the label and a few seed sentences agree) judge the lines of the other, and the lines so
 judged fill the final dictionaries. The seeds stand in every dictionary, for languages the sample shows too rarely.
 
-Lines of main content are those of natural prose records (``quality``) that are not repeated in their source
-(``site_lines``), end like a sentence or are long, and show no plain sign of a notice; other furniture is not told
-apart here.
+Lines of main content are those of natural prose records (``quality``) that the vote of their site does not call
+furniture (``boilerplate``).
 
 Defined cases: null and empty texts have no lines; null, empty and unknown labels name no language; an id delivered
 twice counts once; an empty table gives an empty result; extra columns are ignored.
@@ -24,18 +23,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from quern.llm import quality, site_lines
+from quern.llm import boilerplate, quality
 from quern.llm.chars import slices
 from quern.llm.lines import Lines
-from quern.llm.sampling import bounded_rows
+from quern.llm.sampling import bounded_texts
 
 MIN_LETTERS = 40
 MIN_LEAD = 0.03
 SEED_LEAD = 0.015
-#: Lines of more characters are running text even without a closing mark.
-RUNNING_CHARS = 100
 DICT_BYTES = 110_000
 LEVEL = 1
 LATIN = ["pt", "en", "es", "fr", "de", "it"]
@@ -62,12 +58,6 @@ SEEDS = {
     "de": "Der Bericht der Kommission wurde nicht veröffentlicht, aber die Bewohner wussten schon, was darin stand. Als der Regen aufhörte, gingen die Kinder auf den Hof und niemand sprach mehr davon. Da es wenige Daten gibt, sind weitere Messungen nötig. ",
     "it": "La relazione della commissione non è stata pubblicata, ma gli abitanti sapevano già che cosa diceva. Quando la pioggia è cessata, i bambini sono usciti nel cortile e nessuno ne ha più parlato. Poiché ci sono pochi dati, sono necessarie altre misure. ",
 }
-#: Notices that carry names or years and so do not repeat exactly.
-NOTICE = re.compile(
-    r"cookie|©|\(c\) ?\d{4}|how to cite|c[oó]mo citar|comment citer|pour citer|zitier|come citare|как цитировать|rights reserved|direitos reservados|derechos reservados|droits réservés|rechte vorbehalten|diritti riservati"
-    r"|digitalizado pel|digitized by|digitalizado por|numérisé par|digitalisiert|digitalizzato da|desde que citada|pueden citarse|opiniões publicadas",
-    re.IGNORECASE,
-)
 SCRIPTS = [("ru", r"[Ѐ-ԯ]"), ("ar", r"[؀-ۿݐ-ݿﭐ-﷿ﹰ-ﻼ]"), ("hi", r"[ऀ-ॣ०-ॿ]"), ("th", r"[ก-๎]"), ("ja", r"[ぁ-ヿㇰ-ㇿｦ-ﾝ]"), ("zh", r"[㐀-鿿豈-﫿]")]
 _OTHER = re.compile("[" + "".join(chars[1:-1] for _, chars in SCRIPTS) + "]")
 _SCRIPTS = [(code, re.compile(chars)) for code, chars in SCRIPTS]
@@ -128,16 +118,15 @@ def dictionaries(lines: list[tuple[str, str]]) -> Dictionaries:
     return Dictionaries(data)
 
 
-def judged(own: quality.QualityModel, lines: Lines, run: list[str]) -> list[list[tuple[int, str, int, bool]]]:
-    """(line number, line, letters, whether it may be running text) of the long lines of each text of natural prose."""
+def judged(own: quality.QualityModel, lines: Lines, run: list[str]) -> list[list[tuple[int, str, int]]]:
+    """(line number, line, letters) of the long lines of each text of natural prose."""
     kind = own.kinds(quality.statistics(lines))
     out, at = [], 0
     for k, text in zip(kind, run):
         each = text.split("\n")
         letters = lines.letters[at : at + len(each)]
-        running = lines.ended[at : at + len(each)] | (lines.chars[at : at + len(each)] > RUNNING_CHARS)
         at += len(each)
-        out.append([(i + 1, each[i], int(letters[i]), bool(running[i])) for i in (letters >= MIN_LETTERS).nonzero()[0]] if k == 0 else [])
+        out.append([(i + 1, each[i], int(letters[i])) for i in (letters >= MIN_LETTERS).nonzero()[0]] if k == 0 else [])
     return out
 
 
@@ -150,25 +139,21 @@ class LanguageModel:
         return (own, 1.0) if own else self.latin.best(line)
 
 
-def fitted(df: DataFrame) -> LanguageModel:
-    """Fitted on a bounded sample of labelled and unlabelled records."""
-    few = df.select("id", "text", "language").where("text is not null and text <> '' and length(text) < 60000")
-    rows, size = [], 0
-    for row in bounded_rows(few, "id", "text", "language", rows=quality.TRAIN_ROWS):
-        size += len(row.text)
-        if size > quality.TRAIN_CHARS:
-            break
-        rows.append(row)
-    kinds = quality.fit([r.text for r in rows])
+def fitted(df: DataFrame, book: boilerplate.Book) -> LanguageModel:
+    """Fitted on a bounded sample of labelled and unlabelled records, without their furniture."""
+    rows = bounded_texts(df, "id", "text", "language", boilerplate.site_column(), rows=quality.TRAIN_ROWS, chars=quality.TRAIN_CHARS, longest=quality.LONG_CHARS)
+    sites = book.some({r["site"] for r in rows})
+    texts = [boilerplate.main_text(sites[r["site"]], r["text"]) for r in rows]
+    kinds = quality.fit([r["text"] for r in rows])
     member = kinds.member()
     found = []
-    for first, run in slices([r.text for r in rows]):
-        found += [(first + i, line, letters) for i, each in enumerate(judged(kinds, Lines(run, member), run)) for _, line, letters, running in each if running and not NOTICE.search(line)]
+    for first, run in slices(texts):
+        found += [(first + i, line, letters) for i, each in enumerate(judged(kinds, Lines(run, member), run)) for _, line, letters in each]
     often = Counter(line for _, line, _ in found)
     latin = [(i, line) for i, line, letters in found if often[line] <= 2 and script(line, letters) is None]
     # A wrong label of a frequent language would fill the dictionary of a rare one: label and seeds must agree.
     seeds = dictionaries([])
-    agreed = [(i, code, line) for i, line in latin for code in named(rows[i].language) for best, lead in [seeds.best(line)] if best == code and lead >= SEED_LEAD]
+    agreed = [(i, code, line) for i, line in latin for code in named(rows[i]["language"]) for best, lead in [seeds.best(line)] if best == code and lead >= SEED_LEAD]
     halves = [dictionaries([(code, line) for i, code, line in agreed if i % 2 == half]) for half in (0, 1)]
     sure = []
     for i, line in latin:
@@ -178,38 +163,33 @@ def fitted(df: DataFrame) -> LanguageModel:
     return LanguageModel(kinds, dictionaries(sure))
 
 
-def line_languages(df: DataFrame, model: LanguageModel | None = None, unnamed: bool = False) -> DataFrame:
-    """(id, line_no, lang, confidence) of each long line of natural prose; only running text whose language
-    the record's label does not name where ``unnamed`` is set."""
-    model = model or fitted(df)
+def line_languages(df: DataFrame, model: LanguageModel | None = None, book: boilerplate.Book | None = None, unnamed: bool = False) -> DataFrame:
+    """(id, line_no, lang, confidence) of each long line of main content of natural prose; only those whose
+    language the record's label does not name where ``unnamed`` is set."""
+    book = book or boilerplate.fitted(df)
+    model = model or fitted(df, book)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(parts) -> Iterator[pa.RecordBatch]:
         own = shared.value
         member = own.kinds.member()
         labels: dict[str | None, set[str]] = {}
-        for batch in batches:
-            ids, texts, label = (batch.column(i).to_pylist() for i in range(3))
+        for sites, texts, ids, label in parts:
             for first, run in slices(texts):
                 out = []
                 for i, each in enumerate(judged(own.kinds, Lines(run, member), run), first):
                     if label[i] not in labels:
                         labels[label[i]] = named(label[i])
-                    for number, line, letters, running in each:
-                        if unnamed and not running:
-                            continue
+                    for number, line, letters in each:
                         code, lead = own.line(line, letters)
-                        if lead >= MIN_LEAD and not (unnamed and (code in labels[label[i]] or NOTICE.search(line))):
+                        if lead >= MIN_LEAD and not (unnamed and code in labels[label[i]]) and not (len(line) <= boilerplate.PATH_CHARS and sites[i].wins(line)):
                             out.append((ids[i], number, code, lead))
                 cols = list(zip(*out)) or [(), (), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.string(), pa.float64()))], names=["id", "line_no", "lang", "confidence"])
 
-    rows = df.where("id is not null and text is not null and text <> ''").select(F.col("id").cast("string"), "text", "language")
-    return rows.mapInArrow(scan, "id string, line_no int, lang string, confidence double")
+    return book.scan(boilerplate.rows_of(df, "language"), scan, "id string, line_no int, lang string, confidence double", "id", "language")
 
 
-def unnamed_languages(df: DataFrame, model: LanguageModel | None = None) -> DataFrame:
+def unnamed_languages(df: DataFrame, model: LanguageModel | None = None, book: boilerplate.Book | None = None) -> DataFrame:
     """(id, lang): languages of whole lines of main content that the record's label does not name."""
-    repeated = site_lines.repeated_lines(df)
-    lines = line_languages(df, model, unnamed=True)
-    return lines.join(repeated, ["id", "line_no"], "left_anti").select("id", "lang").distinct()
+    return line_languages(df, model, book, unnamed=True).select("id", "lang").distinct()

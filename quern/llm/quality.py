@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from quern.llm.boost import BoostedTrees
 from quern.llm.chars import slices
 from quern.llm.lines import Lines, Member, common_words, tables
-from quern.llm.sampling import bounded_rows
+from quern.llm.sampling import bounded_texts
 
 KINDS = ["prose", "list", "table", "junk"]
-TRAIN_ROWS, TRAIN_CHARS = 3_000, 8_000_000
+#: Bounds of the training sample. Longer texts are judged like all others but not learned from.
+TRAIN_ROWS, TRAIN_CHARS, LONG_CHARS = 3_000, 8_000_000, 60_000
 TOLERANCE = 0.05
 STATS = [
     "char_count", "word_count", "line_count", "mean_word_length", "mean_line_length", "letter_share", "digit_share",
@@ -234,15 +235,8 @@ def _holdout_words(texts: list[str]) -> np.ndarray:
 
 
 def training_texts(df: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> list[str]:
-    """At most ``rows`` texts of at most ``chars`` characters together."""
-    out, size = [], 0
-    few = df.select("id", "text").where("text is not null and text <> '' and length(text) < 60000")
-    for row in bounded_rows(few, "id", "text", rows=rows):
-        size += len(row.text)
-        if size > chars:
-            break
-        out.append(row.text)
-    return out
+    """At most ``rows`` texts of at most ``chars`` characters together, none over :data:`LONG_CHARS`."""
+    return [r["text"] for r in bounded_texts(df, "id", "text", rows=rows, chars=chars, longest=LONG_CHARS)]
 
 
 def fitted(df: DataFrame) -> QualityModel:

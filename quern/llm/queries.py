@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import encode, languages, leakage, quality, sentences, site_lines, split, vectors
+from quern.llm import boilerplate, encode, languages, leakage, quality, sentences, site_lines, split, vectors
 from quern.runtime import table
 
 
@@ -36,6 +36,15 @@ def p4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.line_languages(table(spark, sf_dir, "raw_corpus")).distinct()
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.furniture_lines(table(spark, sf_dir, "raw_corpus"))
+
+
+def p5_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record's text with only its main content."""
+    return boilerplate.main_texts(table(spark, sf_dir, "raw_corpus")).distinct()
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.piece_faults(table(spark, sf_dir, "embeddings_chunks"), table(spark, sf_dir, "raw_corpus"))
 
@@ -73,6 +82,8 @@ QUERIES = {
     "p3_clean": p3_clean,
     "p4_found": p4_found,
     "p4_lines": p4_lines,
+    "p5_found": p5_found,
+    "p5_main": p5_main,
     "p6_found": p6_found,
     "p6_pieces": p6_pieces,
     "p7_found": p7_found,

@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.llm.chars import DIGIT, LETTER, MARK, SPACE, classes, codes, slices
-from quern.llm.sampling import bounded_rows
+from quern.llm.sampling import bounded_texts
 
 #: Documents the model is fitted on, at most; and the candidates taken from them.
 TRAIN_DOCS, TRAIN_CHARS = 2_000, 2_000_000
+#: Longer texts are cut like all others but not learned from.
+LONG_CHARS = 20_000
 
 OTHER, BLANK, LINE, UPPER, LOWER, LETTER_, DIGIT_, JOIN, STOP, DOTS, ASK, FULL, OPEN, CLOSE, PAREN, PAREN_END, HIGH, STRAIGHT, DASH, COMMA, COLON, APOS, LEAD = range(23)
 
@@ -383,15 +385,8 @@ def unit_ends(texts: list[str], model: Chain) -> tuple[np.ndarray, np.ndarray]:
 
 
 def training_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> list[str]:
-    """At most ``rows`` texts and ``chars`` characters: those with the smallest hash of their id."""
-    out, size = [], 0
-    few = df.where(F.length(text_col).between(1, 20_000))
-    for row in bounded_rows(few, id_col, text_col, rows=rows):
-        size += len(row[2])
-        if size > chars:
-            break
-        out.append(row[2])
-    return out
+    """At most ``rows`` texts and ``chars`` characters, none over :data:`LONG_CHARS`: those with the smallest hash of their id."""
+    return [r[text_col] for r in bounded_texts(df, id_col, text_col, rows=rows, chars=chars, longest=LONG_CHARS)]
 
 
 def sentence_units(df: DataFrame, model: Chain | None = None) -> DataFrame:
