@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import boilerplate, encode, languages, leakage, quality, sentences, site_lines, split, vectors
+from quern.llm import boilerplate, encode, languages, leakage, pairs, quality, sentences, site_lines, split, vectors
 from quern.runtime import table
 
 
@@ -17,6 +17,10 @@ def p1_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.text_statistics(table(spark, sf_dir, "raw_corpus"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.pair_defects(table(spark, sf_dir, "qa_dataset"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.repeated_lines(table(spark, sf_dir, "raw_corpus"))
 
@@ -78,6 +82,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_statistics": p1_statistics,
+    "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_clean": p3_clean,
     "p4_found": p4_found,
