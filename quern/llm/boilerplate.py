@@ -56,7 +56,7 @@ SEEDS = re.compile(
 )
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[^\w\s]|_")
 _WORD = re.compile(r"[^\W\d_]+")
-_SEPARATORS = frozenset(":>»|•·–—-")
+_SEPARATORS = frozenset(":>»|/•·–—-")
 _OPENERS, _LEADS = frozenset("©☰«»|›→▸"), frozenset("©☰»›→▸")
 _ENDED = re.compile(r"[.!?…。！？।؟][\"'”’»)\]]*$")
 _ITEM = re.compile(r"^(?:[-*•–—▪◦●]\s|\d{1,3}[.)]\s|\(?[^\W\d_][.)]\s)")
