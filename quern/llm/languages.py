@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from quern.llm import boilerplate, quality
-from quern.llm.chars import slices
+from quern.llm.chars import LETTER, classes, codes, slices
 from quern.llm.lines import Lines
 from quern.llm.sampling import bounded_texts
 
@@ -118,6 +118,15 @@ def dictionaries(lines: list[tuple[str, str]]) -> Dictionaries:
     return Dictionaries(data)
 
 
+def long_lines(text: str) -> Iterator[tuple[int, str, int]]:
+    """(line number, line, letters) of the lines of at least :data:`MIN_LETTERS` letters."""
+    for number, line in enumerate(text.split("\n"), 1):
+        if len(line) >= MIN_LETTERS:
+            letters = int((classes()[codes(line)] == LETTER).sum())
+            if letters >= MIN_LETTERS:
+                yield number, line, letters
+
+
 def judged(own: quality.QualityModel, lines: Lines, run: list[str]) -> list[list[tuple[int, str, int]]]:
     """(line number, line, letters) of the long lines of each text of natural prose."""
     kind = own.kinds(quality.statistics(lines))
@@ -175,15 +184,19 @@ def line_languages(df: DataFrame, model: LanguageModel | None = None, book: boil
         member = own.kinds.member()
         labels: dict[str | None, set[str]] = {}
         for sites, texts, ids, label in parts:
-            for first, run in slices(texts):
-                out = []
-                for i, each in enumerate(judged(own.kinds, Lines(run, member), run), first):
-                    if label[i] not in labels:
-                        labels[label[i]] = named(label[i])
-                    for number, line, letters in each:
-                        code, lead = own.line(line, letters)
-                        if lead >= MIN_LEAD and not (unnamed and code in labels[label[i]]) and not (len(line) <= boilerplate.PATH_CHARS and sites[i].wins(line)):
-                            out.append((ids[i], number, code, lead))
+            found: dict[int, list[tuple[int, str, float]]] = {}
+            for i, (site, text) in enumerate(zip(sites, texts)):
+                if label[i] not in labels:
+                    labels[label[i]] = named(label[i])
+                for number, line, letters in long_lines(text):
+                    code, lead = own.line(line, letters)
+                    if lead >= MIN_LEAD and not (unnamed and code in labels[label[i]]) and not (len(line) <= boilerplate.PATH_CHARS and site.wins(line)):
+                        found.setdefault(i, []).append((number, code, lead))
+            # Only texts with such a line need their kind.
+            docs = list(found)
+            for first, run in slices([texts[i] for i in docs]):
+                kind = own.kinds.kinds(quality.statistics(Lines(run, member)))
+                out = [(ids[i], *hit) for i, k in zip(docs[first:], kind) if k == 0 for hit in found[i]]
                 cols = list(zip(*out)) or [(), (), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.string(), pa.float64()))], names=["id", "line_no", "lang", "confidence"])
 
