@@ -1 +1 @@
-
+"""Column expressions: text, JSON, vectors, errors and markup."""

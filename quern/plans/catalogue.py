@@ -1,45 +1,4 @@
-"""The registered core queries and their SQL."""
+"""All registered core queries and their SQL."""
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-
-from quern.operators import audit
-from quern.runtime import table
-
-
-def qa_audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.audit_report(table(spark, sf_dir, "qa_dataset"), table(spark, sf_dir, "embeddings_chunks"))
-
-
-_COSINE = "case when len({a}) > 0 and len({a}) = len({b}) then case when list_dot_product({a}, {a}) > 0 and list_dot_product({b}, {b}) > 0 then list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b}))) else 0 end end"
-_PHANTOM = r"(^|[^\pL\pN_])(" + "|".join(audit.PHRASES) + r")($|[^\pL\pN_])"
-
-QUERIES = {"qa_audit_report": qa_audit_report}
-ORACLES: dict[str, str] = {
-    "qa_audit_report": f"""
-with qa as (
-    select id, any_value(question) question, any_value(answer) answer, any_value(embedding) q,
-        any_value(case when json_valid(metadata) then json_extract_string(metadata, '$.corpus_id') end) source,
-        any_value(case when json_valid(metadata) then json_extract_string(metadata, '$.raw_id') end) raw
-    from qa_dataset where id is not null group by id),
-own as (
-    select record_id, arg_min(embedding, id) a from embeddings_chunks where table_name = 'qa_dataset' and chunk_index = 0 group by record_id),
-rows_ as (select qa.*, own.a from qa left join own on own.record_id = qa.id),
-ground as (
-    select r.id, max({_COSINE.format(a="r.a", b="c.embedding")}) g
-    from rows_ r join embeddings_chunks c on c.record_id = r.raw and c.table_name is distinct from 'qa_dataset'
-    where r.source <> '' group by r.id),
-flags as (
-    select r.id,
-        coalesce(regexp_matches(question, '{_PHANTOM}', 'i'), false) or coalesce(regexp_matches(answer, '{_PHANTOM}', 'i'), false) as context_reference,
-        coalesce({_COSINE.format(a="r.q", b="r.a")} < {audit.MIN_QA}, false) as semantic_mismatch,
-        coalesce(source, '') = '' or coalesce(g < {audit.MIN_GROUND}, false) as ungrounded_answer,
-        coalesce(source, '') = '' as source_not_in_corpus
-    from rows_ r left join ground on ground.id = r.id)
-select flag, cast(count(*) filter (hit) as bigint) as rows, round(count(*) filter (hit) * 100.0 / nullif(count(*), 0), 4) as share
-from (select id, unnest(['context_reference', 'semantic_mismatch', 'ungrounded_answer', 'source_not_in_corpus']) flag,
-    unnest([context_reference, semantic_mismatch, ungrounded_answer, source_not_in_corpus]) hit from flags)
-group by flag
-""",
-}
+from quern.plans import audits, pipelines, tables, texts  # noqa: F401 - they register their queries
+from quern.plans.registry import ORACLES, QUERIES  # noqa: F401

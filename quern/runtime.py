@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of a join is broadcast only when its counted rows stay under this bound.
-BROADCAST_ROWS = 200_000
+#: A side of a join is broadcast only when it stays under both bounds.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Delete folders of the shared storage that no later step reads."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
@@ -39,11 +48,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint when it has at most ``rows`` rows; otherwise as it is (a shuffled join).
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint when it has at most ``rows`` rows and their text form at most ``size`` bytes;
+    otherwise as it is (a shuffled join).
 
-    The count stops early (``limit``), so the check itself stays cheap on a large side. ``df`` should be
-    something cheap to evaluate twice, such as the result of :func:`written`.
+    Counting stops one row over the bound, so the check itself stays cheap on a large side. ``df`` should be something
+    cheap to evaluate twice, such as the result of :func:`written`.
     """
-    small = df.limit(rows + 1).count() <= rows
-    return F.broadcast(df) if small else df
+    few = df.limit(rows + 1)
+    width = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    count, total = few.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if count <= rows and total <= size else df
