@@ -34,8 +34,13 @@ def char_count(c: str | Column) -> Column:
 
 
 def word_count(c: str | Column) -> Column:
-    """Runs of characters without white space; 0 for empty, null for null."""
-    return F.regexp_count(_col(c), F.lit(f"[^{WHITE}]+")).cast("long")
+    """Runs of characters without white space; 0 for empty, null for null.
+
+    Cutting at white space and taking off the empty ends is several times faster than counting matches.
+    """
+    c = _col(c)
+    ends = F.when(c.rlike(f"^[{WHITE}]"), 1).otherwise(0) + F.when(c.rlike(f"[{WHITE}]\\z"), 1).otherwise(0)
+    return F.when(c.isNull(), None).when(is_blank(c), F.lit(0)).otherwise(F.size(F.split(c, f"[{WHITE}]+")) - ends).cast("long")
 
 
 def strip(c: str | Column) -> Column:
