@@ -8,7 +8,7 @@ separator ("leia também: *", "by the archive S staff"). The steps:
    enough to have a path). The rest, names above all, is masked.
 2. ``score``: every container gets a score from its shape, its neighbours and a few seed words (0 content, 1 furniture).
 3. ``vote``: per site and path, the share of records that carry the path and the mean score decide together. A site
-   with few records leans on the share the path has over all sites that use it.
+   with few records leans on the share the path has in the other sites that use it.
 4. ``re-extract``: the texts are read again; lines on a winning path are furniture, all others main content.
 
 Counts are added up inside each task before they are shuffled, so a site with a third of all records costs one row a
@@ -49,7 +49,7 @@ SEEDS = re.compile(
     r"|como citar|cómo citar|how to cite|pour citer|comment citer|zitierweise|come citare|\bcoment[aá]rios?\b|\bcomments?\b|\bcommentaires?\b|\bkommentar|\bcommenti?\b"
     r"|\bshare\b|compartilh|partag|comparta|\bteilen\b|condividi|newsletter|boletim|bolet[ií]n|\bdigest\b|\bassine\b|suscr[ií]b|subscribe|abonnez|\babonnieren\b|iscriviti|recevez la|reciba el"
     r"|advert|anúncio|\banuncio\b|publicid|publicité|\bannonce\b|\banzeige\b|\bpubblicit|leia também|lea también|read also|à lire aussi|veja mais|ver más|see more|voir aussi|mais lidas|más le[ií]das|most read|les plus lus"
-    r"|página \d|\bpage \d|\bpág\. ?\d|\bmen[uú]\b|voltar ao topo|volver arriba|back to top|haut de page|skip to|ir para o|ir al contenido|aller au contenu|versão para impressão|versión para imprimir|version imprimable|printer-friendly"
+    r"|continues below|continua (?:após|depois)|sigue después|suite après|página \d|\bpage \d|\bpág\. ?\d|\bmen[uú]\b|voltar ao topo|volver arriba|back to top|haut de page|skip to|ir para o|ir al contenido|aller au contenu|versão para impressão|versión para imprimir|version imprimable|printer-friendly"
     r"|\bdigitali[zs]|\bscanned\b|\bnumérisé|gerado pelo|generated by|généré par|atualizado em|actualizado el|updated on|mis à jour|aggiornato il|aktualisiert am"
     r"|^por \w+[^.]*$|^by \w+[^.]*$|^par \w+[^.]*$|^text[oe]? (by|de|di|von) \w|especial para o|^da redação|\bstaff$|leituras|\breads\b|lecturas|\blectures de\b|direitos reservados|derechos reservados|droits réservés|rights reserved"
     r"|reproduzido desde|quoted with credit|citarse con|cités avec mention|apoio:|\bapoya:|supported by|avec le soutien|\bv(ol)?\. ?\d+, (n|no|núm)[.°º]|sign in|se connecter|entrar ou criar|iniciar sesión"
@@ -63,9 +63,9 @@ _ITEM = re.compile(r"^(?:[-*•–—▪◦●]\s|\d{1,3}[.)]\s|\(?[^\W\d_][.)]\
 _WIDE = re.compile(r"\s{2,}")
 
 
-def site_column() -> Column:
+def site_column(df: DataFrame) -> Column:
     """The site of a record: its spider_name, else the host of its url, else the nameless site."""
-    host = F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[a-z]+://([^/?#:]+)", 1)
+    host = F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[a-z]+://([^/?#:]+)", 1) if "url" in df.columns else F.lit("")
     return F.coalesce(F.when(F.trim("spider_name") != "", F.trim("spider_name")), host).alias("site")
 
 
@@ -122,7 +122,8 @@ class Site:
                     open_ = False
         score = 0.5
         if not words:
-            score = 0.1  # names and figures alone: items, rows, noise
+            # Names alone say nothing of a template and never win; figures and marks alone seldom do.
+            score = -9.0 if "N" in out else 0.1
         else:
             if own:
                 score += 0.3
@@ -133,7 +134,7 @@ class Site:
         if _ITEM.match(plain):
             score -= 0.3
         if plain.count(" ") > 11 and _ENDED.search(plain) and not own:
-            score -= 0.35
+            score -= 0.6  # a sentence: only where most of the site's pages carry it
         return " ".join(out), score
 
 
@@ -153,8 +154,8 @@ def _containers(site: Site, text: str) -> list[tuple[int, str, float]]:
         before = kind[solid[at - 1]] if at else 0
         after = kind[solid[at + 1]] if at + 1 < len(solid) else 0
         if kind[i] == 1:
-            if after == 2 and before != 1:  # alone in front of running text: a heading's place
-                score -= 0.1
+            if after == 2:  # in front of running text: a heading's place
+                score -= 0.15
             elif not after and before:  # the last line
                 score += 0.1
             elif before == 1 and after == 1:
@@ -176,7 +177,7 @@ def _partial(sums: dict) -> pa.RecordBatch:
 def rows_of(df: DataFrame, *columns: str) -> DataFrame:
     """(id, site, text, *columns) of the records that have an id and a text."""
     some = (F.col("text").isNotNull()) & (F.col("text") != "") & F.col("id").isNotNull()
-    return df.where(some).select(F.col("id").cast("string").alias("id"), site_column(), "text", *columns)
+    return df.where(some).select(F.col("id").cast("string").alias("id"), site_column(df), "text", *columns)
 
 
 def _known_words(rows: DataFrame) -> DataFrame:
@@ -213,8 +214,10 @@ def _winners(counts: DataFrame) -> DataFrame:
     """
     total = counts.where("key = ''").select("site", F.col("records").alias("total"))
     votes = counts.where("key <> ''").join(total, "site")
-    everywhere = votes.groupBy("key").agg((F.sum("records") / F.sum("total")).alias("usual"))
-    share = (F.col("records") + BORROWED * F.least(F.col("usual"), F.lit(0.25))) / (F.col("total") + BORROWED)
+    everywhere = votes.groupBy("key").agg(F.sum("records").alias("_all"), F.sum("total").alias("_of"))
+    others, of = F.col("_all") - F.col("records"), F.col("_of") - F.col("total")
+    usual = F.when(of > 0, F.least(others / of, F.lit(0.25))).otherwise(F.lit(0.02))
+    share = (F.col("records") + BORROWED * usual) / (F.col("total") + BORROWED)
     z = SCORE_WEIGHT * (F.col("score") / F.col("records") - 0.5) + F.log(share / USUAL_SHARE)
     return votes.join(everywhere, "key").where(z >= 0).groupBy("site").agg(F.collect_list("key").alias("paths"))
 

@@ -150,7 +150,7 @@ class LanguageModel:
 
 def fitted(df: DataFrame, book: boilerplate.Book) -> LanguageModel:
     """Fitted on a bounded sample of labelled and unlabelled records, without their furniture."""
-    rows = bounded_texts(df, "id", "text", "language", boilerplate.site_column(), rows=quality.TRAIN_ROWS, chars=quality.TRAIN_CHARS, longest=quality.LONG_CHARS)
+    rows = bounded_texts(df, "id", "text", "language", boilerplate.site_column(df), rows=quality.TRAIN_ROWS, chars=quality.TRAIN_CHARS, longest=quality.LONG_CHARS)
     sites = book.some({r["site"] for r in rows})
     texts = [boilerplate.main_text(sites[r["site"]], r["text"]) for r in rows]
     kinds = quality.fit([r["text"] for r in rows])

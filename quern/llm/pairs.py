@@ -220,8 +220,11 @@ def is_empty(answer: str | None) -> bool:
     return not any(c.isalnum() for c in bare) or bare in PLACEHOLDERS
 
 
-def verdict(tags: np.ndarray, size: list[int]) -> str | None:
-    """The defect of an answer whose clauses have these tags and numbers of words."""
+def verdict(tags: np.ndarray, size: list[int], announced: bool = False) -> str | None:
+    """The defect of an answer whose clauses have these tags and numbers of words. A short first clause that only
+    announces the next one (``announced``) counts with it."""
+    if announced and len(tags) > 1:
+        tags = np.concatenate([tags[1:2], tags[1:]])
     n = np.bincount(tags, np.array(size, np.float64), 5)
     total = n.sum()
     if n[ECHO] >= 0.9 * total:
@@ -262,8 +265,11 @@ class Examples:
             if kind == 4:
                 far = [c for c in by if c != code and c not in Question(q).allowed]
                 if far:
-                    pick = by[far[k // 6 % len(far)]]
-                    self._add(q, pick[int(chance.integers(len(pick)))], FOREIGN)
+                    code = far[k // 6 % len(far)]
+                    pick = by[code][int(chance.integers(len(by[code])))]
+                    self._add(q, pick, FOREIGN)
+                    # The same answer is sound where the question asks for its language.
+                    self._add(f"{q} ({EXONYMS[code].split()[k // 6 % len(EXONYMS[code].split())]})", pick, ANSWER)
 
     def _add(self, q: str, a: str, tag: int, last: int | None = None, echo: bool = False) -> None:
         question, parts = Question(q), clauses(a)
@@ -352,9 +358,9 @@ def judge(field: ConditionalField, questions: list[str | None], answers: list[st
         x, size = features(Question(q), parts)
         at.append(i)
         xs.append(x)
-        sizes.append(size)
-    for i, tags, size in zip(at, field.decode(xs), sizes):
-        out[i] = verdict(tags, size)
+        sizes.append((size, size[0] <= 4 and parts[0].rstrip().endswith((":", "："))))
+    for i, tags, (size, announced) in zip(at, field.decode(xs), sizes):
+        out[i] = verdict(tags, size, announced)
     return out
 
 
