@@ -153,7 +153,7 @@ def fitted(df: DataFrame, book: boilerplate.Book) -> LanguageModel:
     rows = bounded_texts(df, "id", "text", "language", boilerplate.site_column(df), rows=quality.TRAIN_ROWS, chars=quality.TRAIN_CHARS, longest=quality.LONG_CHARS)
     sites = book.some({r["site"] for r in rows})
     texts = [boilerplate.main_text(sites[r["site"]], r["text"]) for r in rows]
-    kinds = quality.fit([r["text"] for r in rows])
+    kinds = quality.fit([r["text"] for r in rows], quality.corpus_words(df))
     member = kinds.member()
     found = []
     for first, run in slices(texts):

@@ -199,19 +199,32 @@ class Lines:
         return np.bincount(self.doc, values, self.n_docs)
 
 
-def common_words(texts: list[str], share: float = 0.004, most: int = 6_000) -> np.ndarray:
-    """Hashes of the words that occur in at least ``share`` of the texts (at least three), at most ``most`` of them."""
+def word_records(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, texts that have the word) of all words of letters, without the other counts of :class:`Lines`."""
+    t = tables()
+    border = np.concatenate([[0], np.cumsum([len(x) + 1 for x in texts])])
+    c = codes("\n".join(texts) + "\n")
+    k = t["class"][c]
+    edge = np.diff(np.concatenate([[False], (k == LETTER) | (k == MARK) | (k == DIGIT), [False]]).astype(np.int8))
+    start, end = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
+    letters = k[start] == LETTER
+    start, end = start[letters], end[letters]
+    h = _word_hashes(t["low"][c], start, end)
+    doc = np.searchsorted(border, start, "right")
+    order = np.lexsort((doc, h))
+    h, doc = h[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    return np.unique(h[new], return_counts=True)
+
+
+def common_words(texts: list[str], share: float = 0.004) -> np.ndarray:
+    """Sorted hashes of the words that occur in at least ``share`` of the texts (at least three)."""
     from quern.llm.chars import slices
 
-    found = []
-    for first, run in slices(texts):
-        lines = Lines(run)
-        keep = lines.w_alpha
-        pair = np.unique(np.stack([lines.w_hash[keep], (lines.doc[lines.w_line[keep]] + first).astype(np.uint64)], 1), axis=0)
-        found.append(pair[:, 0])
+    found = [word_records(run) for _, run in slices(texts)]
     if not found:
         return np.zeros(0, np.uint64)
-    word, count = np.unique(np.concatenate(found), return_counts=True)
-    ok = count >= max(3, share * len(texts))
-    word, count = word[ok], count[ok]
-    return np.sort(word[np.argsort(-count, kind="stable")[:most]])
+    word, at = np.unique(np.concatenate([h for h, _ in found]), return_inverse=True)
+    count = np.bincount(at, np.concatenate([n for _, n in found]), len(word))
+    return word[count >= max(3, share * len(texts))]

@@ -1,10 +1,15 @@
 """Per-record text statistics and the kind of text they show: prose, list, table or junk.
 
-:func:`statistics` computes the statistics of many texts at once. :func:`weak_labels` gives them labels where
-they are clear and abstains elsewhere; gradient-boosted trees are fitted on a bounded sample of the corpus with
-these labels and calibrated on the hand-checked texts of :func:`holdout`. The same sample gives the list of
-common words. Model and word list are small and broadcast; the corpus is read once and never shuffled, but for
-the few result rows.
+:func:`statistics` measures many texts at once: shares of characters, of words, and of lines and ink (characters
+without outer white space) that show a mark of shape, such as a list marker, cell borders, a closing mark or common
+words. Gradient-boosted trees learn from these measures what :class:`LineKinds`, a set of hand-written rules for single
+lines, says of the clear texts of a bounded sample; the rules abstain elsewhere, are no input of the trees and are not
+used when the table is judged. A fifth of the labelled records and the hand-checked texts of :func:`holdout` calibrate
+the probabilities.
+
+Common words are those that occur in at least :data:`COMMON_SHARE` of all records, counted over the whole table with
+partial counts in each task; their number is bounded by that share. Model and words are broadcast; the texts are read
+once for the words, once for the sample and once to be judged, and never shuffled.
 
 Defined cases: null, empty and blank texts have no kind and no bad count, and statistics of 0; a null stored
 count is never bad; an id delivered twice counts once; an empty table gives an empty result; extra columns are
@@ -22,24 +27,33 @@ from pyspark.sql import functions as F
 
 from quern.llm.boost import BoostedTrees
 from quern.llm.chars import slices
-from quern.llm.lines import Lines, Member, common_words, tables
+from quern.llm.lines import Lines, Member, common_words, word_records
 from quern.llm.sampling import bounded_texts
+from quern.runtime import written
 
 KINDS = ["prose", "list", "table", "junk"]
 #: Bounds of the training sample. Longer texts are judged like all others but not learned from.
-TRAIN_ROWS, TRAIN_CHARS, LONG_CHARS = 3_000, 8_000_000, 60_000
+TRAIN_ROWS, TRAIN_CHARS, LONG_CHARS = 6_000, 12_000_000, 60_000
+COMMON_SHARE = 0.004
+#: Characters whose lines are held in arrays at once.
+RUN_CHARS = 600_000
 TOLERANCE = 0.05
+#: Marks a line may show; each gives a share of the ink and a share of the lines.
+MARKS = [
+    "marked", "leaders", "pipes", "tabs", "wide", "semicolons", "commas", "long", "short", "ended_long", "sentence", "no_common", "strange", "digits",
+    "unlettered", "symbols", "long_word", "capitals", "unspaced", "dashed", "speech", "tiny_tokens", "mangled", "links", "few_tokens", "marked_ended", "names", "repeated",
+]
 STATS = [
     "char_count", "word_count", "line_count", "mean_word_length", "mean_line_length", "letter_share", "digit_share",
     "upper_share", "symbol_share", "noise_share", "ended_share", "common_share", "longest_share", "repeat_share",
-    "prose_share", "item_share", "row_share", "junk_share", "item_lines", "row_lines",
+    *(f"{m}_ink" for m in MARKS), *(f"{m}_lines" for m in MARKS),
 ]
 #: What the trees see: sizes themselves are no evidence of kind.
-SEEN = [i for i, n in enumerate(STATS) if not n.endswith(("_count", "_lines"))]
+SEEN = [i for i, n in enumerate(STATS) if not n.endswith("_count")]
 
 
 class LineKinds:
-    """Coarse kinds of the lines of a batch: ``row``, ``junk``, ``prose``, ``item``; the rest is neither."""
+    """Coarse kinds of the lines of a batch by rule, for weak labels: ``row``, ``junk``, ``prose``, ``item``; the rest is neither."""
 
     def __init__(self, lines: Lines):
         c = lines.c
@@ -95,47 +109,77 @@ class LineKinds:
         self.some = some
 
 
-def statistics(lines: Lines, kinds: LineKinds | None = None) -> np.ndarray:
+def _repeats(lines: Lines) -> np.ndarray:
+    """Words of each line that stood up to four words before in it."""
+    h, wl = lines.w_hash, lines.w_line
+    again = np.zeros(len(h), bool)
+    for lag in range(1, 5):
+        again[lag:] |= (h[lag:] == h[:-lag]) & (wl[lag:] == wl[:-lag])
+    return np.bincount(wl, again, len(lines.chars))
+
+
+def _marks(lines: Lines, repeats: np.ndarray) -> list[np.ndarray]:
+    """The marks of :data:`MARKS` for every line."""
+    c = lines.c
+    chars, spaced, words = np.maximum(lines.chars, 1), np.maximum(lines.spaced_words, 1), np.maximum(lines.words, 1)
+    tight = lambda code: lines.per_line((c == code) & np.append(c[1:] != 32, False)) >= 2
+    name = lines.w_cap & ~lines.w_common & lines.w_alpha
+    last = np.full(len(chars), -1)
+    at = np.nonzero(lines.w_alpha)[0]
+    np.maximum.at(last, lines.w_line[at], at)
+    end = np.maximum(last, 1)
+    names = (last >= 1) & name[end] & name[end - 1] & (lines.w_line[end - 1] == np.arange(len(chars))) & (lines.spaced_words <= 12) if len(name) > 1 else np.zeros(len(chars), bool)
+    return [
+        lines.marker, lines.leaders > 0, lines.pipes >= 2, lines.tabs >= 2, lines.wide >= 2, tight(0x3B), tight(0x2C), lines.chars > 100, lines.chars < 60, lines.ended & (lines.chars > 100),
+        (lines.spaced_words >= 7) & (lines.common >= 0.35 * spaced) & lines.ended, (lines.common == 0) & (lines.spaced_words >= 2), (lines.strange > 0.5 * spaced) & (lines.spaced_words >= 5),
+        lines.digits > 0.2 * chars, lines.letters < 0.5 * chars, (lines.odd + lines.noise > 0.12 * chars) & (lines.chars >= 10), (lines.longest >= 40) & (lines.longest > 0.5 * chars) & (lines.unspaced < 5),
+        lines.caps > 0.6 * np.maximum(lines.alpha_words, 1), lines.unspaced >= 18, lines.dash_item, lines.em_dash, (lines.tokens >= 8) & (lines.chars < 3.9 * lines.tokens) & (lines.unspaced < 5),
+        (lines.per_line(np.isin(c, [ord(x) for x in "ÃÂï¿½€œ�"])) >= 0.1 * chars) & (lines.chars >= 10), lines.per_line(np.isin(c, (0xBB, 0x3E, 0x7C, 0xA9))) > 0, lines.tokens <= 4,
+        lines.marker & lines.ended, names, (repeats >= 0.6 * words) & (lines.words >= 6),
+    ]
+
+
+def statistics(lines: Lines) -> np.ndarray:
     """(texts x STATS) of the texts of ``lines``."""
-    kinds = kinds or LineKinds(lines)
+    if not lines.n_docs:
+        return np.zeros((0, len(STATS)))
     by = lines.by_doc
-    t = tables()
+    some = ~lines.blank
     chars = np.diff(lines.border) - 1
-    ink = np.maximum(by(lines.chars), 1)
-    words = lines.doc_tokens
-    n_lines = by(kinds.some)
-    letters = by(lines.letters)
-    spaced = by(lines.spaced_words)
+    ink, count = np.maximum(by(lines.chars), 1), by(some)
+    letters, spaced = by(lines.letters), by(lines.spaced_words)
     # Words count as common by their share among words of spaced scripts; texts without such words count as common.
     common = np.where(spaced >= 5, by(lines.common) / np.maximum(spaced, 1), 1.0)
-    out = np.stack(
+    longest = np.zeros(lines.n_docs)
+    np.maximum.at(longest, lines.doc, lines.longest)
+    repeats = _repeats(lines)
+    marks = [m & some for m in _marks(lines, repeats)]
+    return np.stack(
         [
-            chars, words, n_lines,
-            letters / np.maximum(by(lines.alpha_words), 1), ink / np.maximum(n_lines, 1), letters / ink, by(lines.digits) / ink,
+            chars, lines.doc_tokens, count,
+            letters / np.maximum(by(lines.alpha_words), 1), ink / np.maximum(count, 1), letters / ink, by(lines.digits) / ink,
             by(lines.uppers) / np.maximum(letters, 1), by(lines.odd) / ink, by(lines.noise) / ink, by(np.where(lines.ended, lines.chars, 0)) / ink,
-            common, np.zeros(lines.n_docs), by(kinds.repeats) / np.maximum(by(lines.words), 1),
-            by(np.where(kinds.prose, lines.chars, 0)) / ink, by(np.where(kinds.item, lines.chars, 0)) / ink,
-            by(np.where(kinds.row, lines.chars, 0)) / ink, by(np.where(kinds.junk, lines.chars, 0)) / ink,
-            by(kinds.item), by(kinds.row),
+            common, np.minimum(longest / ink, 1), by(repeats) / np.maximum(by(lines.words), 1),
+            *(by(np.where(m, lines.chars, 0)) / ink for m in marks), *(by(m) / np.maximum(count, 1) for m in marks),
         ],
         1,
     ).astype(np.float64)
-    longest = np.zeros(lines.n_docs)
-    np.maximum.at(longest, lines.doc, lines.longest)
-    out[:, STATS.index("longest_share")] = np.minimum(longest / ink, 1)
-    return out
-
-
-def weak_labels(s: np.ndarray) -> np.ndarray:
-    """Class numbers of clear texts, -1 for unclear ones."""
-    col = {n: s[:, i] for i, n in enumerate(STATS)}
-    prose, item, row, junk = (col[f"{n}_share"] for n in ("prose", "item", "row", "junk"))
-    y = np.full(len(s), -1)
-    y[(prose > 0.3) & (item < 0.95 * prose) & (row < 0.95 * prose) & (junk < 0.3)] = 0
-    y[(prose <= 0.3) & (item < 0.3) & (row < 0.2) & (junk < 0.2)] = 0
-    y[(item > 0.45) & (item > 1.05 * prose) & (row < 0.3) & (junk < 0.3) & (col["item_lines"] >= 4)] = 1
-    y[(row > 0.45) & (row > 1.05 * prose) & (junk < 0.3) & (col["row_lines"] >= 3)] = 2
-    y[junk > 0.55] = 3
+
+
+def weak_labels(lines: Lines) -> np.ndarray:
+    """Class numbers of the texts that the line rules find clear, -1 for the others."""
+    if not lines.n_docs:
+        return np.zeros(0, np.int64)
+    kinds = LineKinds(lines)
+    by = lines.by_doc
+    ink = np.maximum(by(lines.chars), 1)
+    prose, item, row, junk = (by(np.where(k, lines.chars, 0)) / ink for k in (kinds.prose, kinds.item, kinds.row, kinds.junk))
+    y = np.full(lines.n_docs, -1)
+    y[(prose > 0.35) & (np.maximum(np.maximum(item, row), junk) < 0.5 * prose)] = 0
+    y[(prose <= 0.35) & (np.maximum(np.maximum(item, row), junk) < 0.1)] = 0
+    y[(item > 0.5) & (np.maximum(np.maximum(prose, row), junk) < 0.6 * item) & (by(kinds.item) >= 4)] = 1
+    y[(row > 0.5) & (np.maximum(np.maximum(prose, item), junk) < 0.6 * row) & (by(kinds.row) >= 3)] = 2
+    y[(junk > 0.6) & (prose < 0.25)] = 3
     return y
 
 
@@ -192,41 +236,49 @@ class QualityModel:
         return np.where(stats[:, STATS.index("line_count")] > 0, p.argmax(1) if len(p) else 0, 0)
 
 
-def mixtures(texts: list[str], y: np.ndarray, most: int = 300) -> list[str]:
-    """Lists and tables of the sample with prose lines of other texts put before or behind: captions, openings
-    and closing sentences in every proportion, which the corpus itself shows too rarely to learn from."""
+def mixtures(texts: list[str], y: np.ndarray, most: int = 300) -> tuple[list[str], list[int]]:
+    """(texts, class numbers): lists and tables of the sample with prose lines of other texts put before or behind
+    them, captions, openings and closing sentences that the corpus shows too rarely to learn from. The class is known
+    from how the text was made: that of the part with more characters, none where they are nearly equal."""
     lines = [p for t in (texts[i] for i in np.nonzero(y == 0)[0][:most]) for p in t.split("\n") if len(p) > 90]
-    out = []
+    out, labels = [], []
     for n, i in enumerate(np.nonzero((y == 1) | (y == 2))[0][:most]):
         own = texts[i].split("\n")
         body = own[: max(4, min(len(own), 4 + n % 12))]
+        size = sum(map(len, body))
         for j in range(3 if lines else 0):
             line = lines[(7 * n + j) % len(lines)]
-            out.append("\n".join([line, *body] if j % 2 else [*body, line]))
-    return out
+            if not 0.8 * size < len(line) < 1.25 * size:
+                out.append("\n".join([line, *body] if j % 2 else [*body, line]))
+                labels.append(int(y[i]) if size > len(line) else 0)
+    return out, labels
 
 
-def fit(texts: list[str]) -> QualityModel:
-    """Fit on a sample of the corpus (see :func:`training_texts`)."""
-    common = common_words(texts)
+def fit(texts: list[str], common: np.ndarray | None = None) -> QualityModel:
+    """Fit on a sample of the corpus (see :func:`training_texts`); ``common``: hashes of the common words."""
+    common = common_words(texts, COMMON_SHARE) if common is None else common
     member = Member(common)
-    xs = [statistics(Lines(run, member)) for _, run in slices(texts)]
+    xs, ys = [np.zeros((0, len(STATS)))], [np.zeros(0, np.int64)]
+    for _, run in slices(texts, RUN_CHARS):
+        lines = Lines(run, member)
+        xs.append(statistics(lines))
+        ys.append(weak_labels(lines))
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    mixed, labels = mixtures(texts, y)
     known, answers = holdout()
-    x = np.concatenate([*xs, np.zeros((0, len(STATS)))])
-    y = weak_labels(x) if len(x) else np.zeros(0, np.int64)
-    mixed = mixtures(texts, y)
-    if mixed:
-        x = np.concatenate([x, *[statistics(Lines(run, member)) for _, run in slices(mixed)]])
-        y = weak_labels(x)
     # The holdout's own words are common ones for its statistics: it must not depend on the corpus.
     own = Member(np.unique(np.concatenate([common, _holdout_words(known)])))
     hx, hy = statistics(Lines(known, own)), np.array(answers)
-    clear = y >= 0
-    if (np.bincount(y[clear], minlength=4) >= 5).all():
-        fx, fy = x[clear], y[clear]
-    else:  # too little text of some kind to learn from
-        fx, fy = np.concatenate([x[clear], np.repeat(hx, 5, 0)]), np.concatenate([y[clear], np.repeat(hy, 5)])
-    return QualityModel(BoostedTrees(4).fit(fx[:, SEEN], fy).calibrate(hx[:, SEEN], hy), common)
+    clear = np.nonzero(y >= 0)[0]
+    held = clear[clear % 5 == 0]
+    learned = clear[clear % 5 != 0]
+    # The hand-checked texts stand in for kinds that a small table hardly shows.
+    rare = np.bincount(y[learned], minlength=4)[hy] < 5
+    fx = np.concatenate([x[learned], *[statistics(Lines(run, member)) for _, run in slices(mixed, RUN_CHARS)], np.repeat(hx[rare], 5, 0)])
+    fy = np.concatenate([y[learned], np.array(labels, np.int64), np.repeat(hy[rare], 5)]).astype(np.int64)
+    cx, cy = np.concatenate([x[held], hx[~rare]]), np.concatenate([y[held], hy[~rare]])
+    trees = BoostedTrees(4, rounds=40, depth=4).fit(fx[:, SEEN], fy)
+    return QualityModel(trees.calibrate(cx[:, SEEN], cy) if len(cy) else trees, common)
 
 
 def _holdout_words(texts: list[str]) -> np.ndarray:
@@ -234,13 +286,49 @@ def _holdout_words(texts: list[str]) -> np.ndarray:
     return lines.w_hash[lines.w_alpha & ~lines.w_cap]
 
 
+def corpus_words(df: DataFrame, share: float = COMMON_SHARE) -> np.ndarray:
+    """Sorted hashes of the words that occur in at least ``share`` of the table's texts (at least three)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, total = [], 0, 0
+        schema = pa.schema([("word", pa.int64()), ("records", pa.int64())])
+
+        def merged():
+            word, of = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+            return word, np.bincount(of, np.concatenate([n for _, n in held]), len(word)).astype(np.int64)
+
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            total += len(texts)
+            for _, run in slices(texts, RUN_CHARS):
+                held.append(word_records(run))
+                size += len(held[-1][0])
+            if size > 2_000_000:
+                held = [merged()]
+                size = len(held[0][0])
+                if size > 1_000_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], schema=schema)
+                    held, size = [], 0
+        if held:
+            word, n = merged()
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total])], schema=schema)
+
+    counts = df.where("text is not null and text <> ''").select("text").mapInArrow(count, "word long, records long").groupBy("word").agg(F.sum("records").alias("records")).where("records >= 3 or word is null")
+    # Most words are far below any share: only those of at least three records are left, and the total tells the bound.
+    counts = written(counts, "words")
+    total = counts.where("word is null").first()
+    least = max(3, share * (total["records"] if total else 0))
+    return np.sort(np.array([r["word"] for r in counts.where("word is not null").where(F.col("records") >= least).toLocalIterator()], np.int64).view(np.uint64))
+
+
 def training_texts(df: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> list[str]:
     """At most ``rows`` texts of at most ``chars`` characters together, none over :data:`LONG_CHARS`."""
     return [r["text"] for r in bounded_texts(df, "id", "text", rows=rows, chars=chars, longest=LONG_CHARS)]
 
 
 def fitted(df: DataFrame) -> QualityModel:
-    return fit(training_texts(df))
+    return fit(training_texts(df), corpus_words(df))
 
 
 def _scan(df: DataFrame, columns: list[str], schema: str, model: QualityModel, each, empty: bool = False) -> DataFrame:
@@ -253,7 +341,7 @@ def _scan(df: DataFrame, columns: list[str], schema: str, model: QualityModel, e
         member = own.member()
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for first, run in slices(texts):
+            for first, run in slices(texts, RUN_CHARS):
                 lines = Lines(run, member)
                 yield each(own, lines, statistics(lines), batch.slice(first, len(run)))
 
