@@ -27,6 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quern.llm.chars import DIGIT, LETTER, classes, codes, folds, slices
 
@@ -34,7 +35,7 @@ MIN_WORDS = 12
 Q = 12
 EDITS = 1
 ITEM_BLOCK = 20_000
-_TAG = regex.compile(r"<[/!?|]?[A-Za-z][^<>]{0,300}>")
+_TAG = regex.compile(r"<[/!?|]?[A-Za-z][^<>]*>")
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -130,8 +131,9 @@ class ItemIndex:
         self.seen = np.zeros(1 << self.bits, bool)
         self.seen[(self.hash >> np.uint64(64 - self.bits)).astype(np.int64)] = True
 
-    def find(self, texts: list[str]) -> list[tuple[int, int]]:
-        """(index of text, item id) of every leak in ``texts``."""
+    def find(self, texts: list[str], exact: bool = True) -> list[tuple[int, object, int, int, int]]:
+        """(index of text, item id, first word, words, edits) of every leak in ``texts``: by the exact rule, or by
+        alignment alone."""
         c, starts, ends, border = squash(texts)
         if not len(self.hash) or len(c) < self.q:
             return []
@@ -152,8 +154,8 @@ class ItemIndex:
         pos, item, off, doc = pos[inside], item[inside], off[inside], doc[inside]
         # Overlapping bands of diagonals: each q-gram counts in the two bands that cover its diagonal.
         width = 2 * (self.edits + 1)
-        diagonal = pos - off + (1 << 20)
-        out = set()
+        diagonal = pos - off + (1 << 40)
+        out: dict[tuple[int, int], tuple[int, int, int]] = {}
         for shift in (0, width // 2):
             band = (diagonal + shift) // width
             order = np.lexsort((pos, band, item, doc))
@@ -164,13 +166,73 @@ class ItemIndex:
             size = np.diff(np.append(first, len(d)))
             for f in first[size >= self.bound[i[first]]]:
                 key = (int(d[f]), int(i[f]))
-                if key not in out and self._aligned(c, starts, ends, border[key[0]], border[key[0] + 1], key[1], int(b[f]) * width - shift - (1 << 20), width):
-                    out.add(key)
-        return [(d, self.ids[i]) for d, i in out]
+                if exact and key in out:
+                    continue
+                lo, hi, band0 = border[key[0]], border[key[0] + 1], int(b[f]) * width - shift - (1 << 40)
+                best = self._aligned(c, lo, hi, key[1], band0, width)
+                if best is None or exact and not self._whole_words(c, starts, ends, lo, hi, key[1], band0, width):
+                    continue
+                s, e = self.word_start[key[1]], self.word_end[key[1]]
+                w0, w1 = int(np.searchsorted(s, best[0], "left")), int(np.searchsorted(e, best[1], "right"))
+                if w1 - w0 >= self.min_words and (key not in out or (w1 - w0, -best[2]) > (out[key][1], -out[key][2])):
+                    out[key] = (w0, w1 - w0, best[2])
+                elif exact:
+                    out[key] = (w0, w1 - w0, best[2])
+        return [(d, self.ids[i], *best) for (d, i), best in out.items()]
 
-    def _aligned(self, c, starts, ends, lo: int, hi: int, item: int, diagonal: int, width: int) -> bool:
-        """Banded alignment without gaps inside a run: the longest equal runs of each diagonal of the band,
-        each tested for ``min_words`` whole words of the item that are whole words here too."""
+    def _aligned(self, c: np.ndarray, lo: int, hi: int, item: int, diagonal: int, width: int) -> tuple[int, int, int] | None:
+        """(from, to, edits) of the longest stretch of the item that aligns with the text inside the band with at most
+        ``edits`` edits, None where it is shorter than ``min_words`` words can be."""
+        own = self.chars[item]
+        band = range(diagonal, diagonal + width)
+        n = len(own)
+        # For each diagonal, where in the item the next and the last differing character stand.
+        after, before, seed = {}, {}, (0, 0, 0)
+        for d in band:
+            a, b = max(lo, d), min(hi, d + n)
+            if b <= a:
+                continue
+            same = np.zeros(n, bool)
+            same[a - d : b - d] = c[a:b] == own[a - d : b - d]
+            gaps = np.nonzero(~same)[0]
+            place = np.arange(n + 1)
+            stop = np.append(gaps, n)
+            after[d] = stop[np.searchsorted(stop, place, "left")]
+            start = np.concatenate([[0], gaps + 1])
+            before[d] = start[np.searchsorted(start, place, "right") - 1]
+            long = after[d] - place
+            j = int(long[:n].argmax())
+            if long[j] > seed[0]:
+                seed = (int(long[j]), d, j)
+        if seed[0] < self.q:
+            return None
+        _, d0, j0 = seed
+
+        def reach(table: dict, step: int, inside) -> list[int]:
+            """Furthest places in the item with 0, 1, ... edits, from the seed outwards."""
+            front = {d0: int(table[d0][j0])}
+            out = [front[d0]]
+            far = max if step > 0 else min
+            for _ in range(self.edits):
+                new: dict[int, int] = {}
+                for d, j in front.items():
+                    # a character exchanged, one of the item left out, one of the text put in
+                    for d2, j2 in ((d, j + step), (d - step, j + step), (d + step, j)):
+                        if d2 in table and inside(d2, j2):
+                            k = int(table[d2][j2])
+                            new[d2] = far(new.get(d2, k), k)
+                front = new or front
+                out.append(far([out[-1], *front.values()]))
+            return out
+
+        right = reach(after, 1, lambda d, j: j <= n and d + j <= hi)
+        left = reach(before, -1, lambda d, j: j >= 0 and d + j >= lo)
+        spans = [(left[k], right[m], k + m) for k in range(self.edits + 1) for m in range(self.edits + 1 - k)]
+        best = max(spans, key=lambda s: (s[1] - s[0], -s[2]))
+        return best if best[1] - best[0] >= self.shortest[item] else None
+
+    def _whole_words(self, c, starts, ends, lo: int, hi: int, item: int, diagonal: int, width: int) -> bool:
+        """Whether an equal run of the band holds ``min_words`` whole words of the item that are whole words here too."""
         own, s, e = self.chars[item], self.word_start[item], self.word_end[item]
         for d in range(diagonal, diagonal + width):
             a, b = max(lo, d), min(hi, d + len(own))
@@ -192,29 +254,37 @@ class ItemIndex:
         return False
 
 
-def leaked(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, q: int = Q, edits: int = EDITS) -> DataFrame:
-    """(doc_id, item_id) of every document that contains ``min_words`` consecutive words of an item."""
+#: The last block's items and index in this worker process: tasks that follow each other build none anew.
+_LAST: list = [None, None, None]
+
+
+def _index(block: list[tuple], min_words: int, q: int, edits: int) -> ItemIndex:
+    if _LAST[0] is not block or _LAST[1] != (min_words, q, edits):
+        _LAST[:] = block, (min_words, q, edits), ItemIndex(block, min_words, q, edits)
+    return _LAST[2]
+
+
+def _found(documents: DataFrame, items: DataFrame, min_words: int, q: int, edits: int, exact: bool) -> DataFrame:
     spark = documents.sparkSession
     docs = documents.select("doc_id", "text").where("text is not null and text <> ''")
     own = items.select("item_id", "text").where("item_id is not null and text is not null").distinct()
-    schema = T.StructType([documents.schema["doc_id"], items.schema["item_id"]])
-    doc_type, item_type = (pa.int64() if f.dataType == T.LongType() else pa.string() for f in schema)
+    schema = T.StructType([documents.schema["doc_id"], items.schema["item_id"], *(T.StructField(n, T.IntegerType()) for n in ("first_word", "words", "edits"))])
+    item_type = to_arrow_type(items.schema["item_id"].dataType)
 
-    def one_pass(block: list[tuple[int, str]]) -> DataFrame:
-        index = spark.sparkContext.broadcast(block)
+    def one_pass(block: list[tuple]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            found = ItemIndex(index.value, min_words, q, edits)
+            index = _index(shared.value, min_words, q, edits)
             for batch in batches:
-                ids = batch.column(0).to_pylist()
-                pairs = [(ids[first + d], i) for first, run in slices(batch.column(1).to_pylist()) for d, i in found.find(run)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p[0] for p in pairs], doc_type), pa.array([p[1] for p in pairs], item_type)], names=["doc_id", "item_id"]
-                )
+                hits = [(first + d, *rest) for first, run in slices(batch.column(1).to_pylist()) for d, *rest in index.find(run, exact)]
+                at, *rest = list(zip(*hits)) or [()] * 5
+                cols = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(rest[0], item_type), *(pa.array(c, pa.int32()) for c in rest[1:])]
+                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
         return docs.mapInArrow(scan, schema)
 
-    # The item side in blocks of bounded size; a text block is read by the driver one at a time.
+    # The driver reads the items in blocks of bounded size, one at a time.
     block, passes = [], []
     for row in own.toLocalIterator():
         block.append((row[0], row[1]))
@@ -222,4 +292,17 @@ def leaked(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, q
             passes.append(one_pass(block))
             block = []
     passes.append(one_pass(block))
-    return reduce(DataFrame.unionByName, passes).distinct()
+    return reduce(DataFrame.unionByName, passes)
+
+
+def leaked(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, q: int = Q, edits: int = EDITS) -> DataFrame:
+    """(doc_id, item_id) of every document that contains ``min_words`` consecutive words of an item."""
+    return _found(documents, items, min_words, q, edits, True).select("doc_id", "item_id").distinct()
+
+
+def passages(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, q: int = 8, edits: int = 3) -> DataFrame:
+    """(doc_id, item_id, first_word, words, edits): the longest passage of each item in each document that aligns with
+    at most ``edits`` changed, missing or added characters and covers ``min_words`` of the item's words; words count from 0."""
+    rows = _found(documents, items, min_words, q, edits, False)
+    best = F.max_by(F.struct("first_word", "words", "edits"), F.struct("words", -F.col("edits"), -F.col("first_word")))
+    return rows.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")

@@ -75,6 +75,11 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passage of each leaked item in each document, with its edits."""
+    return leakage.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentence_units(table(spark, sf_dir, "documents"))
 
@@ -95,6 +100,7 @@ QUERIES = {
     "p7_neighbours": p7_neighbours,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
+    "p9_passages": p9_passages,
     "p10_found": p10_found,
 }
 ORACLES: dict[str, str] = {}
