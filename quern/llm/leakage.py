@@ -186,27 +186,36 @@ class ItemIndex:
         own = self.chars[item]
         band = range(diagonal, diagonal + width)
         n = len(own)
-        # For each diagonal, where in the item the next and the last differing character stand.
-        after, before, seed = {}, {}, (0, 0, 0)
+        seed, matches, longest = (0, 0, 0), {}, []
         for d in band:
             a, b = max(lo, d), min(hi, d + n)
-            if b <= a:
+            if b - a < self.q:
                 continue
-            same = np.zeros(n, bool)
-            same[a - d : b - d] = c[a:b] == own[a - d : b - d]
-            gaps = np.nonzero(~same)[0]
-            place = np.arange(n + 1)
-            stop = np.append(gaps, n)
-            after[d] = stop[np.searchsorted(stop, place, "left")]
-            start = np.concatenate([[0], gaps + 1])
-            before[d] = start[np.searchsorted(start, place, "right") - 1]
-            long = after[d] - place
-            j = int(long[:n].argmax())
-            if long[j] > seed[0]:
-                seed = (int(long[j]), d, j)
-        if seed[0] < self.q:
+            same = np.zeros(n + 2, bool)
+            same[a - d + 1 : b - d + 1] = c[a:b] == own[a - d : b - d]
+            edge = np.flatnonzero(same[1:] != same[:-1])
+            matches[d] = edge
+            if len(edge):
+                runs = edge[1::2] - edge[::2]
+                k = int(runs.argmax())
+                longest += sorted(runs.tolist())[-self.edits - 1 :] if len(runs) > 1 else [int(runs[0])]
+                if runs[k] > seed[0]:
+                    seed = (int(runs[k]), d, int(edge[2 * k]))
+        # No alignment is longer than the longest equal runs with the edits between them.
+        if seed[0] < self.q or sum(sorted(longest)[-self.edits - 1 :]) + self.edits < self.shortest[item]:
             return None
         _, d0, j0 = seed
+        place = np.arange(n + 1)
+        # For each diagonal, where the equal run of each place of the item ends and begins (the place itself if it differs).
+        after, before = {}, {}
+        for d, edge in matches.items():
+            first, last = edge[::2], edge[1::2]
+            k = np.searchsorted(first, place, "right") - 1
+            inside = (k >= 0) & (place < last[np.maximum(k, 0)]) if len(first) else np.zeros(n + 1, bool)
+            after[d] = np.where(inside, last[np.maximum(k, 0)] if len(first) else place, place)
+            k = np.searchsorted(last, place, "left")
+            inside = (k < len(last)) & (place > first[np.minimum(k, len(first) - 1)]) if len(first) else np.zeros(n + 1, bool)
+            before[d] = np.where(inside, first[np.minimum(k, len(first) - 1)] if len(first) else place, place)
 
         def reach(table: dict, step: int, inside) -> list[int]:
             """Furthest places in the item with 0, 1, ... edits, from the seed outwards."""
@@ -228,7 +237,7 @@ class ItemIndex:
         right = reach(after, 1, lambda d, j: j <= n and d + j <= hi)
         left = reach(before, -1, lambda d, j: j >= 0 and d + j >= lo)
         spans = [(left[k], right[m], k + m) for k in range(self.edits + 1) for m in range(self.edits + 1 - k)]
-        best = max(spans, key=lambda s: (s[1] - s[0], -s[2]))
+        best = max(spans, key=lambda s: s[1] - s[0] - self.q * s[2])  # an edit must win back q characters
         return best if best[1] - best[0] >= self.shortest[item] else None
 
     def _whole_words(self, c, starts, ends, lo: int, hi: int, item: int, diagonal: int, width: int) -> bool:
@@ -300,7 +309,7 @@ def leaked(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, q
     return _found(documents, items, min_words, q, edits, True).select("doc_id", "item_id").distinct()
 
 
-def passages(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, q: int = 8, edits: int = 3) -> DataFrame:
+def passages(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, q: int = 10, edits: int = 2) -> DataFrame:
     """(doc_id, item_id, first_word, words, edits): the longest passage of each item in each document that aligns with
     at most ``edits`` changed, missing or added characters and covers ``min_words`` of the item's words; words count from 0."""
     rows = _found(documents, items, min_words, q, edits, False)
