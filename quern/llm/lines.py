@@ -104,21 +104,17 @@ class Lines:
         self.n_docs = len(texts)
         sizes = np.array([len(x) + 1 for x in texts], np.int64)
         self.border = np.concatenate([[0], np.cumsum(sizes)])
-        c = self.c = codes("\n".join(texts) + "\n")
+        c = self.c = codes("\n".join(texts) + "\n" if texts else "")
         k = self.k = t["class"][c]
         stop = np.nonzero(c == 10)[0]
         self.end = stop
-        self.start = np.concatenate([[0], stop[:-1] + 1])
+        self.start = np.concatenate([[0], stop[:-1] + 1])[: len(stop)]
         self.doc = np.searchsorted(self.border, self.start, "right") - 1
         first = np.searchsorted(self.start, self.border[:-1])
         self.no = np.arange(len(stop)) - first[self.doc] + 1
         self.first_line = first
 
-        def per_line(flag: np.ndarray) -> np.ndarray:
-            run = np.concatenate([[0], np.cumsum(flag, dtype=np.int32)])
-            return run[self.end] - run[self.start]
-
-        self.per_line = per_line
+        per_line = self.per_line
         space = (k == SPACE) | (c == 10)
         solid = np.nonzero(~space)[0]
         self.solid = solid
@@ -195,6 +191,11 @@ class Lines:
         #: Words in lower case that are not common: rare in prose, usual in noise.
         self.strange = np.bincount(self.w_line, spaced & ~cap & ~self.w_common, n)
 
+    def per_line(self, flag: np.ndarray) -> np.ndarray:
+        # A method, not a closure kept on the object: that would be a cycle and hold all arrays until a full collection.
+        run = np.concatenate([[0], np.cumsum(flag, dtype=np.int32)])
+        return run[self.end] - run[self.start]
+
     def by_doc(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.doc, values, self.n_docs)
 
