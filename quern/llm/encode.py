@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 VOCAB = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LEAF_CHARS = 16_384
 LONG_CHARS = LEAF_CHARS
+#: Neighbours joined by one task on each level of the tree.
+FAN = 8
 #: Fixed value: the split pattern of the byte-level vocabularies.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
@@ -177,10 +179,19 @@ def encode_corpus(
             nodes = [leaf(t, vocab) for t in pdf["_leaf"]]
             yield pdf.assign(_spans=[n.spans for n in nodes], _ids=[n.ids for n in nodes])
 
-    def join_leaves(pdf: pd.DataFrame) -> pd.DataFrame:
+    def joined(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Neighbours of one text as one node."""
         pdf = pdf.sort_values("_n")
         nodes = [Node(t, [int(x) for x in s], [[int(y) for y in x] for x in i]) for t, s, i in zip(pdf["_leaf"], pdf["_spans"], pdf["_ids"])]
-        return pd.DataFrame({"_id": [pdf["_id"].iloc[0]], "ids": [_flat(_tree(nodes, vocab))]})
-
-    tall = cut.mapInPandas(encode_leaves, leaves).groupBy("_row").applyInPandas(join_leaves, schema)
+        whole = _tree(nodes, vocab)
+        return pd.DataFrame({"_id": [pdf["_id"].iloc[0]], "_row": [pdf["_row"].iloc[0]], "_n": [int(pdf["_n"].iloc[0]) // FAN], "_leaf": [whole.text], "_spans": [whole.spans], "_ids": [whole.ids]})
+
+    longest = rows.where(long_text).agg(F.max(F.length("_text"))).first()[0]
+    if longest is None:
+        return short.select(F.col("_id").alias(id_col), "ids")
+    nodes, count = cut.mapInPandas(encode_leaves, leaves), -(-longest // leaf_chars)
+    # The tree, level by level: neighbours meet in tasks of their own, whatever the number of leaves of a text.
+    while count > 1:
+        nodes, count = nodes.groupBy("_row", F.floor(F.col("_n") / FAN).alias("_up")).applyInPandas(joined, leaves), -(-count // FAN)
+    tall = nodes.select("_id", F.flatten("_ids").alias("ids"))
     return short.unionByName(tall).select(F.col("_id").alias(id_col), "ids")

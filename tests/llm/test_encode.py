@@ -30,3 +30,14 @@ def test_long_texts_of_the_table_take_the_tree(spark):
     assert encode.LONG_CHARS < len(texts[0])
     rows = encode.encode_corpus(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r.doc_id: r.ids for r in rows} == {i: encode.coder().encode_ordinary(t or "") for i, t in enumerate(texts)}
+
+
+def test_levels_of_the_tree(spark):
+    """Hundreds of leaves, joined level by level, one and the same text twice, and texts within a leaf."""
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(["we'll", " ", "'s", "rio", "\n", "  ", "1a", "é", "'ve", "旧"]) for _ in range(n)) for n in (2, 60, 700, 1500)]
+    rows = [*enumerate(texts), (9, texts[2]), (9, texts[2]), (10, None)]
+    got = encode.encode_corpus(spark.createDataFrame(rows, "doc_id long, text string"), long_chars=30, leaf_chars=20).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.ids == encode.coder().encode_ordinary(dict(rows)[r.doc_id] or "")
