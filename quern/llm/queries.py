@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quern.llm import boilerplate, encode, languages, leakage, pairs, quality, sentences, site_lines, split, vectors
 from quern.runtime import table
@@ -31,6 +32,13 @@ def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.without_lines(raw, site_lines.repeated_lines(raw))
 
 
+def p3_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines from the table merged in three deltas."""
+    raw = table(spark, sf_dir, "raw_corpus").select("id", "text", "spider_name")
+    slot = F.pmod(F.xxhash64("id"), F.lit(3))
+    return site_lines.merged_lines([raw.where(slot == i) for i in range(3)])
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.unnamed_languages(table(spark, sf_dir, "raw_corpus"))
 
@@ -90,6 +98,7 @@ QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_clean": p3_clean,
+    "p3_deltas": p3_deltas,
     "p4_found": p4_found,
     "p4_lines": p4_lines,
     "p5_found": p5_found,

@@ -8,11 +8,16 @@ line (old ones through the postings, new ones through the delta) get marks. Ever
 
 Two lines are the same if they differ only in letter case, in white space or in runs of decimal digits.
 A line key is 96 bits of hash over source and normal form; distinct records are counted by a 64-bit hash.
-A hot source needs no salting: counting is keyed by source *and* line, and partial counts are combined
-before each shuffle, so even a line found in every record of a hot source arrives as one row per task.
+A hot source needs no salting: counting is keyed by source *and* line. To count distinct records, one row for each
+line of a record is shuffled, spread by line and record; what then arrives for a line, even one that every record of a
+hot source has, is one partial count a task.
+
+A store lives in its folder: opened again it goes on from the last merge. :meth:`LineCounts.rebuilt` gives new texts only
+for the documents that the last merge marked; all others stay as they are.
 
 Defined cases: null and empty texts have no lines; records with a null source form one source; an id that
-is delivered again counts once and keeps its first delivery; a line that occurs twice in one record counts
+is delivered again in a later partition counts once and keeps its first delivery (inside one partition its copies are taken
+to be equal); a line that occurs twice in one record counts
 once but is marked at both places; null ids are ignored; an empty table gives empty tables; extra columns
 are ignored.
 """
@@ -24,7 +29,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.runtime import broadcast_if_small, shared_dir
+from quern.runtime import broadcast_if_small, dropped, shared_dir
 
 MIN_RECORDS = 12
 MIN_LETTERS = 12
@@ -58,13 +63,22 @@ class LineCounts:
     def __init__(self, spark: SparkSession, path: str | None = None, min_records: int = MIN_RECORDS, min_letters: int = MIN_LETTERS):
         self.spark, self.min_records, self.min_letters = spark, min_records, min_letters
         self.path = path or f"{shared_dir(spark)}/line-counts-{uuid.uuid4().hex}"
-        self.version = 0
+        self.version = self._last()
+
+    def _last(self) -> int:
+        """The last merge that is whole: its marks, written at the end, are there."""
+        spark, v = self.spark, 0
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        while files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self._at('marks', v + 1)}/_SUCCESS")):
+            v += 1
+        return v
 
     def _at(self, name: str, version: int) -> str:
         return f"{self.path}/{name}/v={version:06d}"
 
     def _put(self, df: DataFrame, name: str, version: int) -> DataFrame:
-        df.write.parquet(self._at(name, version))
+        df.write.mode("overwrite").parquet(self._at(name, version))  # what a broken merge left is replaced
         return self.spark.read.schema(df.schema).parquet(self._at(name, version))
 
     def _all(self, name: str, upto: int) -> DataFrame:
@@ -102,10 +116,32 @@ class LineCounts:
         """(id, line_no) of every repeated line so far."""
         return self._all("marks", self.version)
 
+    def rebuilt(self, texts: DataFrame) -> DataFrame:
+        """(id, text) of the documents that hold a line newly marked by the last merge, without any marked line;
+        ``texts``: (id, text) of all documents so far. Other documents are neither joined with marks nor written."""
+        newly = broadcast_if_small(self.spark.read.parquet(self._at("marks", self.version)).select("id").distinct())
+        return without_lines(texts.join(newly, "id", "left_semi"), self.marks().join(newly, "id", "left_semi"))
+
+    def drop(self, *names: str) -> None:
+        """Delete tables of a store that takes no further merge."""
+        dropped(self.spark, *[f"{self.path}/{n}" for n in names])
+
 
 def repeated_lines(df: DataFrame, min_records: int = MIN_RECORDS, min_letters: int = MIN_LETTERS) -> DataFrame:
     """(id, line_no) of every repeated line of a whole table, merged as the store's first partition."""
-    return LineCounts(df.sparkSession, None, min_records, min_letters).merge(df)
+    store = LineCounts(df.sparkSession, None, min_records, min_letters)
+    marks = store.merge(df)
+    store.drop("counts", "seen", "postings")
+    return marks
+
+
+def merged_lines(partitions: list[DataFrame], min_records: int = MIN_RECORDS, min_letters: int = MIN_LETTERS) -> DataFrame:
+    """(id, line_no) of every repeated line of partitions merged one after the other as deltas."""
+    store = LineCounts(partitions[0].sparkSession, None, min_records, min_letters)
+    for part in partitions:
+        store.merge(part)
+    store.drop("counts", "seen", "postings")
+    return store.marks()
 
 
 def without_lines(df: DataFrame, marks: DataFrame) -> DataFrame:
