@@ -3,20 +3,26 @@
 Every character is tagged boundary or inside. Only closing marks (with the quotation marks and brackets right
 behind), spaces of Thai text and paragraph ends can be boundaries, so the chain runs over those characters;
 all others are inside. A candidate is described by categories (kind of mark, word before, what follows,
-quotation state, script); their weights and the chain's transitions are those of a conditional random field
-fitted by gradient ascent on weak labels: the :func:`weak_labels` of a bounded sample of documents, of every
-combination of categories, and, for Thai, of its punctuation-stripped text (places inside words against the
-places where a space was taken out, told apart by the characters on both sides). Viterbi decoding runs over
-all documents of a batch side by side.
+quotation state, script). The weights of single categories, of pairs and of a few triples, and the chain's transitions,
+are those of a conditional random field fitted by gradient ascent to the :func:`weak_labels` of a bounded sample of
+documents, and for Thai to its punctuation-stripped text (places inside words against the places where a space was
+taken out, told apart by the characters on both sides). No table of combinations is learned: combinations the sample
+lacks are judged from their parts. Viterbi decoding runs over all documents of a batch side by side.
+
+Abbreviations are learned too: words that nearly always bear a full stop, and behind it a figure or small letter, are
+counted over all documents (:func:`learned_abbreviations`) and join the short seed lists below.
+
+Texts of scripts that are usually punctuated but bear no mark are not cut inside a paragraph: a heading would be cut.
 
 Defined cases: null, empty and blank texts have no units; a blank line and the text's end close a unit
-whatever the model says; repeated documents give equal rows once; an empty table gives an empty result;
+whatever the model says; documents delivered twice give equal rows once; an empty table gives an empty result;
 extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import sys
 from collections.abc import Iterator
 
@@ -28,11 +34,20 @@ from pyspark.sql import types as T
 
 from quern.llm.chars import DIGIT, LETTER, MARK, SPACE, classes, codes, slices
 from quern.llm.sampling import bounded_texts
+from quern.runtime import broadcast_if_small, written
 
 #: Documents the model is fitted on, at most; and the candidates taken from them.
 TRAIN_DOCS, TRAIN_CHARS = 2_000, 2_000_000
 #: Longer texts are cut like all others but not learned from.
 LONG_CHARS = 20_000
+#: When a word counts as an abbreviation: times seen, share of its full stops that end nothing, share of its uses with one.
+LEAST_SEEN, INSIDE_SHARE, WITH_STOP = 20, 0.9, 0.95
+#: A few sentences that show each kind of mark, for tables whose sample lacks it.
+LESSONS = [
+    "It rained. The road was wet! Was it closed? \u201cNo.\u201d She left... Then it cleared. See fig. 3 and p. 7. Mr. Hale came at 5.30 p.m. and left. 1. First point.\n2. Second point.\nThe file is a.txt. It costs 3.50 today.",
+    "\u201cWait!\u201d he said. \u201cIs it far?\u201d asked Ana. (It was not.) J. R. Marsh wrote it, etc. The rest is lost.",
+    "旧灯塔在河边。他问：“远吗？”她笑了！真的吗？然后他走了。", "灯台は古い。「遠い？」と彼は聞いた。そうだ！", "दीप पुराना है। क्या वह दूर है? हाँ!", "المنارة قديمة. هل هي بعيدة؟ نعم!", "Маяк стар. Он далёк? Да! См. рис. 3 и т. д.",
+]
 
 OTHER, BLANK, LINE, UPPER, LOWER, LETTER_, DIGIT_, JOIN, STOP, DOTS, ASK, FULL, OPEN, CLOSE, PAREN, PAREN_END, HIGH, STRAIGHT, DASH, COMMA, COLON, APOS, LEAD = range(23)
 
@@ -108,7 +123,7 @@ class Candidates:
     """Possible boundaries of many texts: ``doc``, ``end`` (position in the text) and categories ``cat``;
     ``forced``: (doc, end) of paragraph ends."""
 
-    def __init__(self, texts: list[str], inside: bool = False):
+    def __init__(self, texts: list[str], inside: bool = False, abbreviations: np.ndarray | None = None):
         border = np.concatenate([[0], np.cumsum([len(t) + 2 for t in texts])])
         c = codes("\n\n".join(texts) + "\n\n")
         kind = kinds()[c]
@@ -189,6 +204,7 @@ class Candidates:
         for j in range(6):
             h = np.where(size > j, h * _P + low_ch[np.minimum(w0 + j, n - 1)], h)
         titles, may, months = _word_lists()
+        titles = titles if abbreviations is None else abbreviations
         short = has & (size <= 6)
         behind = np.maximum(w0 - 1, 0)
         line_start = gap[w0] & ((newlines[w0] >= 2) | ((newlines[w0] == 1) & np.isin(k[behind], (STOP, DOTS, ASK, FULL, COLON))))
@@ -274,26 +290,31 @@ def weak_labels(cat: np.ndarray) -> np.ndarray:
     return (y & (q != Q_INSIDE) & ~dash_quote).astype(np.int64)
 
 
+#: Categories that count together, beside each by itself.
+TOGETHER = [*itertools.combinations(range(len(SHAPE)), 2), (0, 1, 2), (0, 2, 3), (0, 3, 4)]
+
+
 def _columns(cat: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    """Feature numbers of each candidate: each category with the mark kind, the whole combination, Thai pair."""
-    whole = np.ravel_multi_index(tuple(cat.T), SHAPE)
-    cols, base = [whole], int(np.prod(SHAPE))
-    for j in range(1, len(SHAPE)):
-        cols.append(base + cat[:, 0] * SHAPE[j] + cat[:, j])
-        base += SHAPE[0] * SHAPE[j]
+    """Feature numbers of each candidate: single categories, those of :data:`TOGETHER`, Thai pair."""
+    cols, base = [], 0
+    for group in [*((j,) for j in range(len(SHAPE))), *TOGETHER]:
+        shape = tuple(SHAPE[j] for j in group)
+        cols.append(base + np.ravel_multi_index(tuple(cat[:, j] for j in group), shape))
+        base += int(np.prod(shape))
     cols.append(base + pair)
     return np.stack(cols, 1)
 
 
-N_FEATURES = int(np.prod(SHAPE)) + SHAPE[0] * sum(SHAPE[1:]) + 4096
+N_FEATURES = sum(SHAPE) + sum(int(np.prod([SHAPE[j] for j in group])) for group in TOGETHER) + 4096
 
 
 class Chain:
     """Two-tag linear-chain conditional random field with sparse categorical features."""
 
-    def __init__(self, weights: np.ndarray | None = None, moves: np.ndarray | None = None):
+    def __init__(self, weights: np.ndarray | None = None, moves: np.ndarray | None = None, abbreviations: np.ndarray | None = None):
         self.weights = np.zeros(N_FEATURES) if weights is None else weights
         self.moves = np.zeros((2, 2)) if moves is None else moves
+        self.abbreviations = abbreviations if abbreviations is not None and len(abbreviations) else _word_lists()[0]
 
     @staticmethod
     def _grid(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -302,7 +323,7 @@ class Chain:
         col = np.arange(len(doc)) - np.nonzero(new)[0][row]
         return row, col, int(row[-1]) + 1
 
-    def fit(self, cols: np.ndarray, doc: np.ndarray, y: np.ndarray, rounds: int = 40, rate: float = 1.0, decay: float = 1e-4) -> Chain:
+    def fit(self, cols: np.ndarray, doc: np.ndarray, y: np.ndarray, rounds: int = 60, rate: float = 1.0, decay: float = 1e-4) -> Chain:
         """Adaptive gradient ascent on the conditional likelihood (forward-backward over the grid)."""
         row, col, rows = self._grid(doc)
         width = int(col.max()) + 1
@@ -358,25 +379,72 @@ class Chain:
         return tag
 
 
-def fit(texts: list[str]) -> Chain:
-    """The chain fitted on weak labels of a bounded sample and of every combination of categories."""
-    cats, pairs, docs, first = [], [], [], 0
-    for _, run in slices(texts):
-        found = Candidates(run, inside=True)
+def fit(texts: list[str], abbreviations: np.ndarray | None = None) -> Chain:
+    """The chain fitted on the weak labels of a bounded sample."""
+    chain = Chain(abbreviations=abbreviations)
+    cats, pairs, docs, first = [np.zeros((0, len(SHAPE)), np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    for _, run in slices([*texts, *LESSONS]):
+        found = Candidates(run, True, chain.abbreviations)
         cats.append(found.cat)
         pairs.append(found.pair)
         docs.append(found.doc + first)
         first += len(run)
-    every = np.stack(np.unravel_index(np.arange(int(np.prod(SHAPE))), SHAPE), 1)
-    cat = np.concatenate([*cats, every])
-    pair = np.concatenate([*pairs, np.zeros(len(every), np.int64)])
-    doc = np.concatenate([*docs, first + np.arange(len(every))])
-    return Chain().fit(_columns(cat, pair), doc, weak_labels(cat))
+    cat, pair, doc = np.concatenate(cats), np.concatenate(pairs), np.concatenate(docs)
+    return chain.fit(_columns(cat, pair), doc, weak_labels(cat))
+
+
+def learned_abbreviations(df: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Hashes of the seed titles and of the words of up to six letters that the whole table shows to be abbreviations:
+    at least :data:`LEAST_SEEN` times before a full stop that a figure, small letter or pause follows, in at least
+    :data:`INSIDE_SHARE` of the full stops behind them, and hardly ever without one. Counted with partial sums a task."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            for _, run in slices(batch.column(0).to_pylist()):
+                held.append(stop_counts(run))
+            held = [_summed(held)]
+        if held:
+            total = held[0]
+            yield pa.RecordBatch.from_arrays([pa.array(total[:, j].view(np.int64)) for j in range(4)], names=["word", "inside", "other", "bare"])
+
+    rows = df.where(F.length(text_col) > 0).select(text_col).mapInArrow(count, "word long, inside long, other long, bare long")
+    sums = rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("inside", "other", "bare")])
+    stops = F.col("inside") + F.col("other")
+    found = sums.where((F.col("inside") >= LEAST_SEEN) & (F.col("inside") >= INSIDE_SHARE * stops) & (stops >= WITH_STOP * (stops + F.col("bare"))))
+    own = np.array([r["word"] for r in found.select("word").collect()], np.int64).view(np.uint64)
+    return np.unique(np.concatenate([_word_lists()[0], own]))
+
+
+def _summed(parts: list[np.ndarray]) -> np.ndarray:
+    every = np.concatenate(parts)
+    word, at = np.unique(every[:, 0], return_inverse=True)
+    return np.stack([word, *(np.bincount(at, every[:, j].astype(np.float64), len(word)).astype(np.uint64) for j in (1, 2, 3))], 1)
+
+
+def stop_counts(texts: list[str]) -> np.ndarray:
+    """(word hash, full stops with the sentence going on, other full stops, no full stop) of the words of up to six letters."""
+    c = codes("\n\n".join(texts) + "\n\n\n")
+    kind = kinds()[c]
+    letter = (kind == UPPER) | (kind == LOWER) | (kind == LETTER_) | (kind == JOIN)
+    edge = np.diff(np.concatenate([[False], letter, [False]]).astype(np.int8))
+    start, end = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
+    keep = (end - start <= 6) & (end - start > 1) & (kind[np.maximum(start - 1, 0)] != DIGIT_) & (end + 2 < len(c))
+    start, end = start[keep], end[keep]
+    low = _lower()[c]
+    h = np.zeros(len(start), np.uint64)
+    for j in range(6):
+        h = np.where(end - start > j, h * _P + low[np.minimum(start + j, len(c) - 1)], h)
+    stop = (c[end] == 0x2E) & (kind[end + 1] == BLANK)
+    inside = stop & np.isin(kind[end + 2], (DIGIT_, LOWER)) | (c[end] == 0x2E) & (kind[end + 1] == COMMA)
+    other = (c[end] == 0x2E) & ~inside
+    rows = np.stack([h, inside.astype(np.uint64), other.astype(np.uint64), (c[end] != 0x2E).astype(np.uint64)], 1)
+    return _summed([rows])
 
 
 def unit_ends(texts: list[str], model: Chain) -> tuple[np.ndarray, np.ndarray]:
     """(index of text, end) of every sentence unit, in order."""
-    found = Candidates(texts)
+    found = Candidates(texts, abbreviations=model.abbreviations)
     yes = model.decode(_columns(found.cat, found.pair), found.doc) == 1
     doc = np.concatenate([found.doc[yes], found.forced[0]])
     end = np.concatenate([found.end[yes], found.forced[1]])
@@ -391,8 +459,8 @@ def training_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def sentence_units(df: DataFrame, model: Chain | None = None) -> DataFrame:
     """(doc_id, sent_end) of every sentence unit of every document."""
-    chain = model or fit(training_sample(df))
-    shared = df.sparkSession.sparkContext.broadcast((chain.weights, chain.moves))
+    chain = model or fit(training_sample(df), learned_abbreviations(df))
+    shared = df.sparkSession.sparkContext.broadcast((chain.weights, chain.moves, chain.abbreviations))
     schema = T.StructType([df.schema["doc_id"], T.StructField("sent_end", T.IntegerType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,5 +475,8 @@ def sentence_units(df: DataFrame, model: Chain | None = None) -> DataFrame:
             ids = batch.column(0).take(pa.array(np.concatenate(at)))
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(ends).astype(np.int32))], names=["doc_id", "sent_end"])
 
-    rows = df.select("doc_id", "text").where("text is not null and text <> ''")
-    return rows.mapInArrow(cut, schema)
+    rows = df.select("doc_id", "text").where("doc_id is not null and text is not null and text <> ''")
+    twice = broadcast_if_small(written(df.groupBy("doc_id").count().where("doc_id is not null and count > 1").select("doc_id"), "twice"))
+    # Only documents delivered twice are shuffled; all others are cut where they are read.
+    once = rows.join(twice, "doc_id", "left_anti").mapInArrow(cut, schema)
+    return once.unionByName(rows.join(twice, "doc_id", "left_semi").mapInArrow(cut, schema).distinct())
