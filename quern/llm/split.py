@@ -175,11 +175,10 @@ def piece_faults(chunks: DataFrame, records: DataFrame, limit: int = LIMIT, over
             yield pa.RecordBatch.from_arrays([b.column(0).take(keep), pa.array([f for f in faults if f], pa.string())], names=["id", "fault"])
 
     schema = T.StructType([pieces.schema["id"], T.StructField("fault", T.StringType())])
-    found = steps[0].unionByName(steps[1]).unionByName(steps[2]).mapInArrow(judge, schema).groupBy("id", "fault").count()
+    found = steps[0].unionByName(steps[1]).unionByName(steps[2]).mapInArrow(judge, schema).groupBy("id").agg(F.collect_set("fault").alias("_f"))
     # A piece of which several stand before it is sound if it follows one of them.
-    sound = found.where("fault = 'sound'").select("id")
-    lost = found.where("fault = 'no_overlap'").select("id", "fault").join(sound, "id", "left_anti")
-    return found.where("fault not in ('sound', 'no_overlap')").select("id", "fault").unionByName(lost)
+    sound = F.array(F.lit("sound"), F.lit("no_overlap"))
+    return found.select("id", F.explode(F.when(F.array_contains("_f", "sound"), F.array_except("_f", sound)).otherwise(F.col("_f"))).alias("fault"))
 
 
 def _step_fault(size: int | None, last: str | None, after: str | None, prev: str | None, piece: str | None, has: bool | None, limit: int, overlap: int) -> str | None:
