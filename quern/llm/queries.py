@@ -112,4 +112,39 @@ QUERIES = {
     "p9_passages": p9_passages,
     "p10_found": p10_found,
 }
-ORACLES: dict[str, str] = {}
+_WHITE = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_LINES = rf"""
+raw as (select id, any_value(text) as text, any_value(spider_name) as spider_name from raw_corpus where id is not null group by id),
+lines as (select id, spider_name, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as line_no from raw where text is not null),
+normal as (select id, spider_name, cast(line_no as integer) as line_no, regexp_replace(regexp_replace(regexp_replace(lower(line), '[{_WHITE}]+', ' ', 'g'), '^ | $', '', 'g'), '\p{{Nd}}+', '0', 'g') as line
+    from lines where length(regexp_replace(line, '\P{{L}}', '', 'g')) >= {site_lines.MIN_LETTERS}),
+often as (select spider_name, line from normal group by spider_name, line having count(distinct id) >= {site_lines.MIN_RECORDS}),
+marked as (select distinct n.id, n.line_no from normal n join often o on n.line = o.line and n.spider_name is not distinct from o.spider_name)"""
+_REPEATED = f"with {_LINES} select id, line_no from marked"
+_UNIT = f"""
+v as materialized (select id, any_value(coalesce(record_id, id)) as rec, any_value(embedding) as e, sqrt(any_value(list_sum(list_transform(embedding, lambda x: x * x)))) as norm
+    from embeddings_chunks where id is not null and len(list_filter(embedding, lambda x: x is not null)) = {vectors.DIM} and len(embedding) = {vectors.DIM} group by id),
+u as materialized (select id, rec, list_transform(e, lambda x: x / norm) as e from v where norm > 0)"""
+ORACLES: dict[str, str] = {
+    "p3_found": _REPEATED,
+    "p3_deltas": _REPEATED,
+    "p3_clean": f"""with {_LINES}
+select r.id, case when r.text is null then null else (select coalesce(string_agg(l.line, chr(10) order by l.line_no), '') from lines l where l.id = r.id and l.line_no not in (select line_no from marked m where m.id = r.id)) end as text from raw r""",
+    "p6_found": rf"""
+with pieces as (select id, any_value(record_id) as record_id, any_value(table_name) as table_name, any_value(chunk_index) as chunk_index, any_value(chunk_text) as chunk_text from embeddings_chunks where id is not null group by id),
+other as (select * from pieces where table_name is distinct from 'qa_dataset'),
+texts as (select id, any_value(text) as text from raw_corpus where text is not null group by id),
+before as (select distinct record_id, chunk_index + 1 as chunk_index, chunk_text as prev from other),
+steps as (select o.id, bool_or(b.chunk_index is not null) as has,
+        bool_or(coalesce(len(list_filter(range({split.OVERLAP}, least(length(b.prev), length(o.chunk_text)) + 1), lambda k: right(b.prev, k) = left(o.chunk_text, k))) > 0, false)) as ok
+    from other o left join before b using (record_id, chunk_index) where o.chunk_index > 0 group by o.id)
+select id, 'oversize' as fault from pieces where length(chunk_text) > {split.LIMIT}
+union all select o.id, 'mid_word' from other o join texts t on t.id = o.record_id
+    where o.chunk_text <> '' and strpos(t.text, o.chunk_text) > 0 and regexp_matches(right(o.chunk_text, 1), '[\pL\pN]') and regexp_matches(substr(t.text, strpos(t.text, o.chunk_text) + length(o.chunk_text), 1), '[\pL\pN]')
+union all select id, case when has then 'no_overlap' else 'missing_before' end from steps where not ok""",
+    "p7_found": f"""
+with {_UNIT},
+pairs as (select a.id, b.id as other, round(list_dot_product(a.e, b.e), 6) as c from u a join u b on a.rec <> b.rec and a.id <> b.id where list_dot_product(a.e, b.e) >= {vectors.MIN_COSINE} - 0.000001),
+near as (select id, other from pairs where c >= {vectors.MIN_COSINE} qualify row_number() over (partition by id order by c desc, other) <= {vectors.K})
+select x.id as id_a, x.other as id_b from near x join near y on y.id = x.other and y.other = x.id where x.id < x.other""",
+}
