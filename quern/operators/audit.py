@@ -105,15 +105,19 @@ def audit_flags(qa: DataFrame, chunks: DataFrame, entail: str | None = None) ->
     return judged(scored(qa, chunks, entail)).select("id", F.explode_outer("audit_flags").alias("flag"))
 
 
-def audit_report(qa: DataFrame, chunks: DataFrame, entail: str | None = None) -> DataFrame:
-    """(flag, rows, share): how many of all rows have each flag; flags nobody has stand with 0."""
-    flags = [f for f in FLAGS if entail or f != "hallucination_risk"]
-    rows = judged(scored(qa, chunks, entail))
+def reported(rows: DataFrame, entailed: bool) -> DataFrame:
+    """(flag, rows, share) of :func:`judged` rows: how many have each flag; flags nobody has stand with 0."""
+    flags = [f for f in FLAGS if entailed or f != "hallucination_risk"]
     counts = rows.agg(F.count("*").alias("total"), *[F.count_if(F.array_contains("audit_flags", f)).alias(f) for f in flags])
     each = F.inline(F.array(*[F.struct(F.lit(f).alias("flag"), F.col(f).alias("rows")) for f in flags]))
     return counts.select("total", each).select("flag", "rows", F.when(F.col("total") > 0, F.round(F.col("rows") * 100.0 / F.col("total"), 4)).alias("share"))
 
 
+def audit_report(qa: DataFrame, chunks: DataFrame, entail: str | None = None) -> DataFrame:
+    """The report over all rows."""
+    return reported(judged(scored(qa, chunks, entail)), bool(entail))
+
+
 def quarantine(qa: DataFrame, chunks: DataFrame, rows: DataFrame) -> dict[str, DataFrame]:
     """The states after flagged rows moved: the rows for quarantine, the questions and the chunks left.
 

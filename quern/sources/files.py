@@ -19,13 +19,14 @@ def listed(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
 
 
 def raw_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """Raw Parquet files with their path in ``file``: missing columns get their defaults, missing counts are taken from
-    the text; a file without ``text`` raises. Columns are those of :data:`schemas.RAW_FILE`."""
+    """Raw Parquet files with their path in ``file`` and the row's place in it in ``position``: missing columns get their
+    defaults, missing counts are taken from the text; without ``text`` this raises. Columns: :data:`schemas.RAW_FILE`."""
     df = spark.read.option("mergeSchema", "true").parquet(*paths)
     counts = {"char_count": char_count("text"), "word_count": word_count("text")}
     own = df.withColumns({n: c for n, c in counts.items() if n not in df.columns and "text" in df.columns})
-    out = schemas.conform(own.withColumn("file", F.col("_metadata.file_path")), T.StructType([*schemas.RAW_FILE, T.StructField("file", T.StringType())]), {"title": "", "url": "", "language": "pt"}, ("text",))
-    return out
+    place = [T.StructField("file", T.StringType()), T.StructField("position", T.LongType())]
+    own = own.withColumns({"file": F.col("_metadata.file_path"), "position": F.col("_metadata.row_index")})
+    return schemas.conform(own, T.StructType([*schemas.RAW_FILE, *place]), {"title": "", "url": "", "language": "pt"}, ("text",))
 
 
 def json_lines(spark: SparkSession, schema: T.StructType, *paths: str, defaults: dict[str, str] | None = None) -> DataFrame:
