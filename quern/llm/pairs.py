@@ -41,12 +41,12 @@ BUCKETS = 1 << 15
 PLACEHOLDERS = "n/a na none null nil nan undefined todo tbd empty vazio vacío vide leer vuoto".split()
 #: Function words by language; words of several languages speak for each of them.
 FUNCTION = {
-    "pt": "o a os as do da dos das de que não em um uma por para com no na nos nas e foi ao à se mas mais como já são pelo pela sem sob seu sua é ou isso muito quando ainda também até desde sim cerca porque",
+    "pt": "o a os as do da dos das de que não em um uma por para com no na nos nas e foi ao à se mas mais como já são pelo pela sem sob seu sua é ou isso muito quando ainda também até desde sim cerca porque sobre entre segundo conforme ele ela seus suas foram tem há nem mesmo onde qual quem pela pelos",
     "en": "the of and that in to is was for with not on at by an as it be this are from or but which one since because although over while when yes about has have been a",
-    "es": "el la los las del de que no en un una por para con y fue al se lo pero más como ya son su sin sobre es o esto muy cuando aunque también hasta desde sí cerca porque según",
-    "fr": "le la les des du de que ne pas en un une pour avec et au aux dans est sur par ce qui mais plus comme sont son sa sans ou très quand aussi depuis oui environ parce car puisque",
+    "es": "el la los las del de que no en un una por para con y fue al se lo pero más como ya son su sin sobre es o esto muy cuando aunque también hasta desde sí cerca porque según entre ha han él ella sus fueron qué cómo dónde quién cuál",
+    "fr": "le la les des du de que ne pas en un une pour avec et au aux dans est sur par ce qui mais plus comme sont son sa sans ou très quand aussi depuis oui environ parce car puisque qu que on il elle ils pourquoi comment où sous entre chez n d l s c j été ont selon près",
     "de": "der die das den dem des und nicht ist von mit im zu ein eine einen auf für als sich auch es an wie aber nach bei aus wird sind oder seit ja etwa weil denn dass",
-    "it": "il lo la gli le i del della dei delle di che non in un una per con e è al alla nel nella sul si ma più come sono suo sua senza o molto quando anche fino da dal sì circa perché poiché",
+    "it": "il lo la gli le i del della dei delle di che non in un una per con e è al alla nel nella sul si ma più come sono suo sua senza o molto quando anche fino da dal sì circa perché poiché l d un dell all nell sull tra secondo ha hanno quale chi dove",
 }
 #: Names a question may call a language by, beside those of its own speakers.
 EXONYMS = {
@@ -80,6 +80,8 @@ BECAUSE = {"pt": "Porque ", "es": "Porque ", "en": "Because ", "fr": "Parce que
 
 _CLAUSE = re.compile(r"[^.!?…。！？।؟;；:,，、\n]*(?:[.!?…。！？।؟;；:,，、]+[\"'”’»)\]]*(?=\s|$)|[。！？।؟，、]|[.!?…;:,]+|\n|$)")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
+#: Spellings that speak for a language.
+_SPELLED = [("pt", re.compile(r"[ãõ]|ç[aão]|lh[aeo]|nh[aeo]")), ("es", re.compile(r"ñ|ción|ll[aeo]")), ("fr", re.compile(r"[èêœùî]|eux$|oi")), ("de", re.compile(r"[ßäöü]|sch")), ("it", re.compile(r"zion|gli|cch|tt[aeio]$"))]
 _OTHER_SCRIPT = re.compile(r"[Ѐ-ԯ؀-ۿऀ-ॿ฀-๿぀-ヿ㐀-鿿]")
 _DONE = re.compile(r"[.!?…。！？।؟][\"'”’»)\]]*$")
 _LIST = re.compile(r"^\s*(?:[-*•–]|\d{1,3}[.)]|[a-z]\))\s")
@@ -107,13 +109,19 @@ def languages_of(text: str, words: list[str]) -> Counter:
         if code:
             out[code] = max(2, len(text) // 6)
             return out
-    known = _function_words()
     for w in words:
-        for code in known.get(w, ()):
-            out[code] += 1
+        out.update(_votes(w))
     return out
 
 
+@functools.lru_cache(maxsize=100_000)
+def _votes(word: str) -> tuple[str, ...]:
+    """The languages a word speaks for: as a function word (also before an apostrophe), else by its spelling."""
+    known = _function_words()
+    own = known.get(word) or (known.get(re.split("['’]", word)[0]) if "'" in word or "’" in word else None)
+    return own or tuple(code for code, spelled in _SPELLED if spelled.search(word))
+
+
 def clauses(answer: str) -> list[str]:
     """The answer's clauses with their marks, in order; pieces without a letter or digit join the one before."""
     out: list[str] = []
@@ -145,7 +153,8 @@ class Question:
         self.known = set(self.words)
         self.pairs = set(zip(self.words, self.words[1:]))
         votes = languages_of(text, self.words)
-        self.allowed = {votes.most_common(1)[0][0]} if votes else set()
+        # Several languages may speak for it equally.
+        self.allowed = {c for c, n in votes.items() if n == max(votes.values())}
         self.asked = {_names()[w] for w in self.words if w in _names()}
         self.allowed |= self.asked if self.allowed else set()
 
