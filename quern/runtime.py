@@ -20,11 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) a temporary folder of this machine is set.
+    Only where the session names none and runs on one machine (tests, a laptop) a temporary folder is set; a cluster
+    must name one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors reach")
     own = tempfile.mkdtemp(prefix="quern-")
     spark.conf.set("spark.checkpoint.dir", own)
     spark.sparkContext.setCheckpointDir(own)
