@@ -245,11 +245,13 @@ class Book:
 
             def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 book = {s: Site(s, *v) for s, v in small.value.items()}
-                yield from function((([book[s] for s in b.column(0).to_pylist()], *(b.column(i).to_pylist() for i in range(1, b.num_columns))) for b in batches))
+                # A site the book does not know (texts that came later) has no winning path.
+                site = lambda s: book.get(s) or book.setdefault(s, Site(s, None, None))
+                yield from function((([site(s) for s in b.column(0).to_pylist()], *(b.column(i).to_pylist() for i in range(1, b.num_columns))) for b in batches))
 
             return rows.select("site", "text", *columns).mapInArrow(plain, schema)
 
-        salted = rows.select("site", "text", *columns, (F.floor(F.rand(7) * SALTS)).cast("int").alias("_salt"), F.lit(1).alias("_order"), F.lit(None).cast("array<string>").alias("words"), F.lit(None).cast("array<string>").alias("paths"))
+        salted = rows.select("site", "text", *columns, F.pmod(F.xxhash64("text", F.spark_partition_id()), F.lit(SALTS)).cast("int").alias("_salt"), F.lit(1).alias("_order"), F.lit(None).cast("array<string>").alias("words"), F.lit(None).cast("array<string>").alias("paths"))
         own = self.table if "paths" in self.table.columns else self.table.withColumn("paths", F.lit(None).cast("array<string>"))
         own = own.select("site", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"), F.lit(0).alias("_order"), "words", "paths")
         width = 2 + len(columns)

@@ -50,3 +50,9 @@ def test_nothing_to_find(spark):
     assert {r.id for r in boilerplate.furniture_lines(df).collect()} <= {"d"}
     assert {r.id for r in boilerplate.main_texts(df).collect()} == {"c", "d"}
     assert boilerplate.furniture_lines(df.limit(0)).collect() == []
+
+
+def test_sites_the_book_does_not_know(spark):
+    book = boilerplate.fitted(spark.createDataFrame(pages(), SCHEMA))
+    new = spark.createDataFrame([("z", "Busca avançada\nx", "neu_de", None, 1), ("y", "Busca avançada\nx", "malva_pt", None, 1)], SCHEMA)
+    assert sorted(map(tuple, boilerplate.furniture_lines(new, book).collect())) == [("y", 1)]
