@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import boilerplate, encode, languages, leakage, pairs, quality, sentences, site_lines, split, vectors
+from quern.llm import boilerplate, encode, languages, leakage, pairs, quality, sentences, site_lines, split, unmarked, vectors
 from quern.runtime import table
 
 
@@ -92,6 +92,11 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentence_units(table(spark, sf_dir, "documents"))
 
 
+def p10_unmarked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The units of every Chinese and Japanese document after its closing marks are taken out."""
+    return unmarked.unmarked_units(table(spark, sf_dir, "documents"), strip=True)
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_statistics": p1_statistics,
@@ -111,6 +116,7 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_passages": p9_passages,
     "p10_found": p10_found,
+    "p10_unmarked": p10_unmarked,
 }
 _WHITE = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _LINES = rf"""

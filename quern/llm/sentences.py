@@ -12,7 +12,8 @@ lacks are judged from their parts. Viterbi decoding runs over all documents of a
 Abbreviations are learned too: words that nearly always bear a full stop, and behind it a figure or small letter, are
 counted over all documents (:func:`learned_abbreviations`) and join the short seed lists below.
 
-Texts of scripts that are usually punctuated but bear no mark are not cut inside a paragraph: a heading would be cut.
+Chinese and Japanese text that bears no mark is not cut inside a paragraph here, as a heading would be; ``unmarked`` has
+a model trained on punctuation-stripped text for it.
 
 Defined cases: null, empty and blank texts have no units; a blank line and the text's end close a unit
 whatever the model says; documents delivered twice give equal rows once; an empty table gives an empty result;
