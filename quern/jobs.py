@@ -10,6 +10,7 @@ it was and can be run again; ids come from natural keys, so a second run adds no
 from __future__ import annotations
 
 import argparse
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,16 +19,33 @@ from quern.functions import jsons, text
 from quern.operators import audit as auditing
 from quern.operators import clean as cleaning
 from quern.operators import embedding, ingest, models, qa, writes
-from quern.runtime import written
+from quern.runtime import scratch, written
 from quern.sources import schemas
 from quern.sources.files import Store, json_lines, listed, raw_files
 from quern.streaming import jobs as streams
 
 
+def _clean_after(job):
+    """Delete a job's intermediate tables when it is done."""
+
+    @functools.wraps(job)
+    def run(store: Store, *args, **kwargs):
+        with scratch(store.spark):
+            return job(store, *args, **kwargs)
+
+    return run
+
+
+def _kept(rows: DataFrame) -> DataFrame:
+    """A few rows (one a file or flag) that outlive the tables they come from."""
+    return rows.sparkSession.createDataFrame(rows.collect(), rows.schema)
+
+
 def _joined(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(schemas.conform(new, old.schema))
 
 
+@_clean_after
 def backfill(store: Store, raw_folder: str, qa_folder: str, names: list[str], limit: int | None = None, queues: str | None = None) -> DataFrame:
     """(file, raw, corpus, qa): rows added by file. Raw files come in by url; those with a question file also give cleaned
     rows and question rows, linked by source. Without one their new rows are queued for cleaning."""
@@ -58,13 +76,14 @@ def backfill(store: Store, raw_folder: str, qa_folder: str, names: list[str], li
     if queues:
         streams.push(_embed_tasks(new_corpus, "corpus", "text").unionByName(_embed_tasks(new_qa, "qa_dataset", "question")), f"{queues}/embed")
         streams.push(new_raw.where("not processed_clean").select("id"), f"{queues}/clean")
-    return ingest.file_counts(new_raw, new_corpus, new_qa)
+    return _kept(ingest.file_counts(new_raw, new_corpus, new_qa))
 
 
 def _embed_tasks(rows: DataFrame, table: str, column: str) -> DataFrame:
     return rows.select("id", F.lit("main").alias("database"), F.lit(table).alias("table"), F.lit(column).alias("source_column"), F.lit("embedding").alias("target_column"))
 
 
+@_clean_after
 def clean(store: Store, provider: str = "offline", queues: str | None = None) -> dict[str, int]:
     """Clean all records not yet processed; too short ones and ones without a result only count as processed."""
     raw, corpus = store.read("raw_corpus"), store.read("corpus")
@@ -79,6 +98,7 @@ def clean(store: Store, provider: str = "offline", queues: str | None = None) ->
     return {"cleaned": new.count(), "processed": rows.count()}
 
 
+@_clean_after
 def embed(store: Store, table: str, ids: DataFrame | None = None, column: str = "text", provider: str = "offline", size: int = 8_000) -> int:
     """Replace the pieces of a table's records (all, or those of ``ids``), and set the vector of what their metadata say."""
     rows, chunks = store.read(table), store.read("embeddings_chunks")
@@ -92,6 +112,7 @@ def embed(store: Store, table: str, ids: DataFrame | None = None, column: str =
     return new.count()
 
 
+@_clean_after
 def generate(store: Store, provider: str = "offline", model: str = "offline") -> int:
     """Questions for the cleaned texts whose raw record has none yet; the answers' vectors are stored as pieces."""
     raw, corpus, questions, chunks = (store.read(n) for n in ("raw_corpus", "corpus", "qa_dataset", "embeddings_chunks"))
@@ -107,6 +128,7 @@ def generate(store: Store, provider: str = "offline", model: str = "offline") ->
     return new.count()
 
 
+@_clean_after
 def audit(store: Store, provider: str | None = "offline") -> DataFrame:
     """Move flagged rows to quarantine and return the report; rows already there are not added again."""
     questions, chunks, held = (store.read(n) for n in ("qa_dataset", "embeddings_chunks", "qa_dataset_quarantine"))
@@ -114,7 +136,7 @@ def audit(store: Store, provider: str | None = "offline") -> DataFrame:
     moved = auditing.quarantine(questions, chunks, rows)
     moved["qa_dataset_quarantine"] = _joined(held, writes.insert_ignore(held, moved["qa_dataset_quarantine"], "id", "audited_at"))
     store.publish(moved)
-    return auditing.reported(rows, bool(provider))
+    return _kept(auditing.reported(rows, bool(provider)))
 
 
 def sync_models(store: Store, found: dict[str, list[str]]) -> int:

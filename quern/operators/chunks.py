@@ -42,7 +42,11 @@ def overlapping(text: str | Column, most: int = 160_000, size: int = 120_000, ov
     return F.when(F.length(text) <= most, F.array(text)).when(F.length(text) > most, F.transform(starts, lambda i: F.substring(text, i * step + 1, F.lit(size))))
 
 
-def joined(df: DataFrame, keys: list[str], position: str, text: str, heading: str = "\n--- FRAGMENTO {n} ---\n", end: str = "\n") -> DataFrame:
+#: Fixed value: the heading of a part, whose consolidation prompts rely on it.
+PART_HEADING = "\n--- FRAGMENTO {n} ---\n"
+
+
+def joined(df: DataFrame, keys: list[str], position: str, text: str, heading: str = PART_HEADING, end: str = "\n") -> DataFrame:
     """(keys, text): the parts that are not empty, in order, each under its heading; ``{n}`` is the position from 1."""
     before, after = heading.split("{n}")
     part = F.concat(F.lit(before), (F.col(position) + 1).cast("string"), F.lit(after), F.col(text), F.lit(end))

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only when it stays under both bounds.
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
+#: Folders written by this driver, for :func:`scratch`.
+_WRITTEN: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,9 +52,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what :func:`written` put into the shared folder inside the block. Results must be stored before it ends."""
+    start = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        paths = _WRITTEN[start:]
+        del _WRITTEN[start:]
+        dropped(spark, *paths)
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint when it has at most ``rows`` rows and their text form at most ``size`` bytes;
     otherwise as it is (a shuffled join).
