@@ -73,10 +73,15 @@ def named(label: str | None) -> set[str]:
     return out
 
 
-def script(line: str, letters: int) -> str | None:
-    """The language of a script that writes most of the line; None for the Latin script."""
+def letters_of(line: str) -> int:
+    return int((classes()[codes(line)] == LETTER).sum())
+
+
+def script(line: str, letters: int | None = None) -> str | None:
+    """The language of a script that writes most of the line's letters; None for the Latin script."""
     if line.isascii() or not _OTHER.search(line):
         return None
+    letters = letters_of(line) if letters is None else letters
     count = {code: len(chars.findall(line)) for code, chars in _SCRIPTS}
     if sum(count.values()) <= letters / 2:
         return None
@@ -105,8 +110,8 @@ class Dictionaries:
                 own.precompute_compress(level=LEVEL)
                 self._coders.append((code, zstandard.ZstdCompressor(level=LEVEL, dict_data=own, write_content_size=False).compress))
         raw = line.encode("utf-8", "replace")
-        sizes = sorted((len(press(raw)), code) for code, press in self._coders)
-        return sizes[0][1], (sizes[1][0] - sizes[0][0]) / len(raw)
+        (best, code), (second, _) = sorted([(len(press(raw)), code) for code, press in self._coders])[:2]
+        return code, (second - best) / len(raw)
 
 
 def dictionaries(lines: list[tuple[str, str]]) -> Dictionaries:
@@ -118,15 +123,6 @@ def dictionaries(lines: list[tuple[str, str]]) -> Dictionaries:
     return Dictionaries(data)
 
 
-def long_lines(text: str) -> Iterator[tuple[int, str, int]]:
-    """(line number, line, letters) of the lines of at least :data:`MIN_LETTERS` letters."""
-    for number, line in enumerate(text.split("\n"), 1):
-        if len(line) >= MIN_LETTERS:
-            letters = int((classes()[codes(line)] == LETTER).sum())
-            if letters >= MIN_LETTERS:
-                yield number, line, letters
-
-
 def judged(own: quality.QualityModel, lines: Lines, run: list[str]) -> list[list[tuple[int, str, int]]]:
     """(line number, line, letters) of the long lines of each text of natural prose."""
     kind = own.kinds(quality.statistics(lines))
@@ -143,7 +139,7 @@ class LanguageModel:
     def __init__(self, kinds: quality.QualityModel, latin: Dictionaries):
         self.kinds, self.latin = kinds, latin
 
-    def line(self, line: str, letters: int) -> tuple[str, float]:
+    def line(self, line: str, letters: int | None = None) -> tuple[str, float]:
         own = script(line, letters)
         return (own, 1.0) if own else self.latin.best(line)
 
@@ -188,9 +184,13 @@ def line_languages(df: DataFrame, model: LanguageModel | None = None, book: boil
             for i, (site, text) in enumerate(zip(sites, texts)):
                 if label[i] not in labels:
                     labels[label[i]] = named(label[i])
-                for number, line, letters in long_lines(text):
-                    code, lead = own.line(line, letters)
-                    if lead >= MIN_LEAD and not (unnamed and code in labels[label[i]]) and not (len(line) <= boilerplate.PATH_CHARS and site.wins(line)):
+                known = labels[label[i]] if unnamed else ()
+                for number, line in enumerate(text.split("\n"), 1):
+                    if len(line) < MIN_LETTERS:
+                        continue
+                    code, lead = own.line(line)
+                    # Letters are counted and paths made only for the few lines that pass the cheaper tests.
+                    if lead >= MIN_LEAD and code not in known and letters_of(line) >= MIN_LETTERS and not (len(line) <= boilerplate.PATH_CHARS and site.wins(line)):
                         found.setdefault(i, []).append((number, code, lead))
             # Only texts with such a line need their kind.
             docs = list(found)
