@@ -1,4 +1,10 @@
-"""Most similar vectors by a permutation index.
+"""Most similar vectors: every pair above a cosine, a permutation index, and the nearest of each vector.
+
+:func:`near_pairs` finds every pair of at least ``min_cosine`` (:func:`all_pairs`). A vector x stands in the list of its
+nearest pivot p; for a vector y in the list of q the distance |x - y| is at least the sum of their margins
+(x.p - x.q) + (y.q - y.p) over |p - q|. So one of the two margins of a close pair is at most half of the largest distance
+times |p - q|, and comparing each vector with the whole list of every q to which its own margin is that small leaves no
+pair out, wherever the pivots lie. Records and ids are told apart by 64-bit hashes. With ``exact=False`` the pairs come from the permutation index instead:
 
 Every vector is represented by its nearest pivots in order (a permutation prefix). It is posted into one
 inverted list for each combination of ``order`` pivots among its first ``near`` ones; inside a list pairs are
@@ -6,15 +12,15 @@ ranked by the footrule distance of their prefixes, pairs close enough are kept,
 their exact cosine. Pivots are a bounded sample (``pivots_for(n)`` vectors, at most ``MAX_PIVOTS``); every
 vector is indexed. The number of pivots follows the number of vectors so that lists keep their expected size.
 
-The footrule bound is meant for close neighbours (cosine of 0.9 and more); :func:`near_pairs` never returns a
-pair below ``min_cosine``. The most similar vectors whatever their cosine come from :func:`neighbours`. On the project's vectors the recall of pairs with a cosine of at least 0.95 against brute
-force is above 0.99 (tests measure it).
+The footrule bound is meant for close neighbours (cosine of 0.9 and more) and misses some; :func:`near_pairs` never returns a
+pair below ``min_cosine``. The most similar vectors whatever their cosine come from :func:`neighbours`.
 
 Skew: vectors that are equal up to length form a class. Of a class only the members that can be among the
 ``k`` nearest of anything are indexed: at most ``k`` of one record, and of those the first ``k * (k + 1)``
 ids; this is exact, as ties in cosine go to the smaller id. Classes are thinned inside each Arrow batch
 first, so a vector that a third of all rows share does not move through the shuffle. Lists of many near-equal vectors
-are divided by further pivots (:func:`divided`) and compared in blocks of pairs, never as a whole.
+are divided by further pivots in the index (:func:`divided`); :func:`all_pairs` has them in several parts. Both compare
+blocks of pairs, never a list as a whole.
 
 Defined cases: null, empty, all-zero, non-finite vectors and those of another dimension have no neighbours;
 an id delivered twice counts once; a null record_id counts as a record of its own; empty tables give an empty
@@ -26,8 +32,10 @@ from __future__ import annotations
 import functools
 import glob
 import itertools
+import re
 import uuid
 from collections.abc import Iterator
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pandas as pd
@@ -49,8 +57,12 @@ LIST_ROWS = 4_096
 #: Lists a vector is looked up in by :func:`neighbours`, and the sizes of a block of lists and of a run of lookups.
 PROBES = 48
 BLOCK_ROWS, QUERY_ROWS = 65_536, 2_048
-#: Most vectors sampled to place the pivots of :func:`neighbours`.
+#: Most vectors sampled to place the pivots of :func:`neighbours` and :func:`all_pairs`.
 SAMPLE_ROWS = 200_000
+#: Most rows in a part of the lists of :func:`all_pairs`, the parts wanted at least, and the rows of either side compared at once.
+PART_ROWS, PARTS, TILE_ROWS = 98_304, 24, 1_024
+#: More than the rounding of float32 can change a cosine, or the difference of two.
+SLACK = np.float32(2e-5)
 
 
 def pivots_for(n: int) -> tuple[int, int]:
@@ -60,23 +72,29 @@ def pivots_for(n: int) -> tuple[int, int]:
     return min(MAX_PIVOTS, max(128, int(2.2 * n ** (1 / 3)))), 3
 
 
-def unit_rows(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row numbers, unit vectors float32) of the usable vectors of a list column."""
+def unit_doubles(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row numbers, unit vectors) of the usable vectors of a list column."""
     valid = np.asarray(column.is_valid())
     size = np.asarray(column.value_lengths().fill_null(0))
     rows = np.nonzero(valid & (size == dim))[0]
     if not len(rows):
-        return rows, np.zeros((0, dim), np.float32)
+        return rows, np.zeros((0, dim))
     x = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
     with np.errstate(all="ignore"):
         norm = np.linalg.norm(x / np.maximum(np.abs(x).max(1, keepdims=True), 1e-300), axis=1) * np.abs(x).max(1)
         good = np.isfinite(norm) & (norm > 0)
-    return rows[good], (x[good] / norm[good][:, None]).astype(np.float32)
+    return rows[good], x[good] / norm[good][:, None]
+
+
+def unit_rows(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row numbers, unit vectors float32) of the usable vectors of a list column."""
+    rows, x = unit_doubles(column, dim)
+    return rows, x.astype(np.float32)
 
 
 def _hash_rows(x: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of each row of a float32 matrix."""
-    words = np.ascontiguousarray(x).view(np.uint32).astype(np.uint64)
+    """64-bit hash of the bytes of each row of a matrix of floats."""
+    words = np.ascontiguousarray(x).view(np.uint32 if x.itemsize == 4 else np.uint64).astype(np.uint64)
     odd = np.random.default_rng(7).integers(0, 1 << 63, x.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     words = (words + np.uint64(0x9E3779B9)) * odd
     h = (words ^ (words >> np.uint64(31))).sum(1, dtype=np.uint64)
@@ -254,8 +272,213 @@ def candidates(points: DataFrame, n: int, dim: int = DIM, near: int = NEAR, boun
     return listed.mapInArrow(pairs, "pa long, pb long").where("pa <> pb").distinct()
 
 
-def near_pairs(df: DataFrame, k: int = K, min_cosine: float = MIN_COSINE, dim: int = DIM) -> DataFrame:
+def _part_of_cells(pivots: np.ndarray, sample: np.ndarray, n: int, part_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first part, number of parts) of every list: parts of about ``part_rows`` of ``n`` rows, as the sample has them. A
+    part holds several lists; a longer list has several parts."""
+    rows = np.bincount(_nearest(sample, pivots), minlength=len(pivots)) * (n / len(sample))
+    first, parts = np.zeros(len(pivots), np.int64), np.maximum(1, np.ceil(rows / part_rows)).astype(np.int64)
+    at, held = 0, 0.0
+    for i in range(len(pivots)):
+        if held and held + rows[i] > part_rows:
+            at, held = at + 1, 0.0
+        first[i], held = at, held + rows[i]
+        if parts[i] > 1:
+            at, held = at + parts[i], 0.0
+    return first, parts
+
+
+def _listed(df: DataFrame, dim: int, k: int, pivots, where) -> DataFrame:
+    """(part, cell, cls, id, rid, iid, hi, lo): the members of each class that can be anyone's neighbour, in the list of
+    their nearest pivot; hi + lo is the unit vector in double precision."""
+    short = k * (k + 1)
+
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, parts = where.value
+        for batch in batches:
+            rows, x = unit_doubles(batch.column(3), dim)
+            hi = x.astype(np.float32)
+            # Vectors that are equal up to length differ in their last bits.
+            cls = _hash_rows(np.round(x, 12) + 0.0)
+            cell = _nearest(hi, pivots.value)
+            made = pa.RecordBatch.from_arrays(
+                [pa.array((first[cell] + (cls % parts[cell].astype(np.uint64)).astype(np.int64)).astype(np.int32)), pa.array(cell), pa.array(cls.view(np.int64)), *(batch.column(i).take(pa.array(rows)) for i in range(3)), *(pa.array([v.tobytes() for v in m], pa.binary()) for m in (hi, (x - hi).astype(np.float32)))],
+                names=["part", "cell", "cls", "id", "rid", "iid", "hi", "lo"],
+            )
+            own = pd.DataFrame({"cls": cls, "cell": cell})
+            big = own.groupby(["cls", "cell"])["cls"].transform("size").to_numpy() > short
+            if big.any():
+                own["id"], own["rid"] = made["id"].to_pylist(), made["rid"].to_numpy()
+                thin = own[big].drop_duplicates(["cls", "cell", "rid", "id"]).sort_values("id").groupby(["cls", "cell", "rid"]).head(k).groupby(["cls", "cell"]).head(short)
+                made = made.take(pa.array(np.sort(np.concatenate([np.nonzero(~big)[0], thin.index.to_numpy()]))))
+            yield made
+
+    key = F.col("id").cast("string")
+    rows = df.where("id is not null and embedding is not null").select(key.alias("id"), F.xxhash64(F.coalesce(F.col("record_id").cast("string"), key)).alias("rid"), F.xxhash64(key).alias("iid"), "embedding")
+    each = rows.mapInArrow(units, "part int, cell int, cls long, id string, rid long, iid long, hi binary, lo binary").repartition("part")
+    each = each.dropDuplicates(["part", "cell", "cls", "rid", "id"])
+    for by, most in ((("part", "cell", "cls", "rid"), k), (("part", "cell", "cls"), short)):
+        each = each.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy("id"))).where(F.col("_n") <= most)
+    return each.drop("_n", "cls").sortWithinPartitions("part", "cell")
+
+
+class Part:
+    """A run of the rows of one file of lists: list numbers, hashes of record and of id, and vectors, sorted by list
+    number; ids and what float32 leaves of the vectors are read when they are asked for."""
+
+    def __init__(self, file: str, batch: pa.RecordBatch, start: int, dim: int):
+        self.file, self.dim = file, dim
+        self.cell, self.names = batch.column(0).to_numpy(), np.stack([batch.column(i).to_numpy() for i in (1, 2)], 1)
+        self.x, self.at = _matrix(batch.column(3), dim), np.arange(start, start + len(self.cell))
+        if (self.cell[1:] < self.cell[:-1]).any():
+            order = np.argsort(self.cell, kind="stable")
+            self.cell, self.names, self.x, self.at = (v[order] for v in (self.cell, self.names, self.x, self.at))
+
+    @functools.cached_property
+    def _rest(self) -> tuple[pa.Array, np.ndarray]:
+        t = pq.ParquetFile(self.file).read(["id", "lo"], use_threads=False).slice(int(self.at.min()), len(self.at)).combine_chunks()
+        return t["id"].combine_chunks(), _matrix(t["lo"].combine_chunks(), self.dim)
+
+    def ids(self, rows: np.ndarray) -> np.ndarray:
+        return self._rest[0].take(pa.array(self.at[rows] - self.at.min())).to_numpy(zero_copy_only=False)
+
+    def doubles(self, rows: np.ndarray) -> np.ndarray:
+        return self.x[rows].astype(np.float64) + self._rest[1][self.at[rows] - self.at.min()]
+
+
+def _parts(file: str, dim: int) -> Iterator[Part]:
+    start = 0
+    for batch in pq.ParquetFile(file).iter_batches(PART_ROWS, columns=["cell", "rid", "iid", "hi"], use_threads=False):
+        yield Part(file, batch, start, dim)
+        start += batch.num_rows
+
+
+def _guests(home: Part, cells: np.ndarray, pivots: np.ndarray, reach: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(list number, row numbers): the rows of ``home`` that have to be compared with each of the lists ``cells``."""
+    own = np.einsum("nd,nd->n", home.x, pivots[home.cell])
+    names, which = np.unique(home.cell, return_inverse=True)
+    step = max(1, 2_000_000 // max(1, len(own)))
+    for a in range(0, len(cells), step):
+        some = cells[a : a + step]
+        apart = np.sqrt(np.maximum(0, 2 - 2 * (pivots[some] @ pivots[names].T)) + SLACK)
+        near = own - pivots[some] @ home.x.T <= np.float32(reach / 2) * apart[:, which] + SLACK
+        for c, row in zip(some, near):
+            if row.any():
+                yield int(c), np.nonzero(row)[0]
+
+
+def _best_of(q: np.ndarray, x: np.ndarray, same: np.ndarray, ids_q: np.ndarray, ids_x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row of q, row of x) of the ``k`` best pairs, by rounded cosine and then id, of each row of either side; ``same`` pairs come last."""
+    s = np.round(q @ x.T * 1e6).astype(np.int64)
+    s[same] = -(1 << 30)
+    found = []
+    for v, ids in ((s, ids_x), (s.T, ids_q)):
+        order = np.argsort(ids, kind="stable")
+        most = min(k, v.shape[1])
+        key = v[:, order] * len(ids) + np.arange(len(ids))[::-1]
+        found.append((np.repeat(np.arange(len(v)), most), order[np.argpartition(-key, most - 1, axis=1)[:, :most]].ravel()))
+    return np.concatenate([found[0][0], found[1][1]]), np.concatenate([found[0][1], found[1][0]])
+
+
+def _close(home: Part, lists: Part, asked: list[tuple[int, np.ndarray]], least: float, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows of home, rows of lists) of different records that may have a cosine of ``least``, tile by tile; where most
+    have, only those that are among the ``k`` best of either row in the tile."""
+    for cell, who in asked:
+        i, j = np.searchsorted(lists.cell, [cell, cell + 1])
+        for u in range(0, len(who), TILE_ROWS):
+            g = who[u : u + TILE_ROWS]
+            q = home.x[g]
+            for v in range(i, j, TILE_ROWS):
+                at = np.arange(v, min(j, v + TILE_ROWS))
+                s = q @ lists.x[v : v + len(at)].T
+                if s.max() < least - SLACK:
+                    continue
+                a, b = np.nonzero(s >= least - SLACK)
+                if len(a) > 16 * sum(s.shape):
+                    same = (home.names[g][:, None] == lists.names[at][None]).any(2)
+                    a, b = _best_of(home.doubles(g), lists.doubles(at), same, home.ids(g), lists.ids(at), k)
+                ok = (home.names[g[a]] != lists.names[at[b]]).all(1)
+                if ok.any():
+                    yield g[a[ok]], at[b[ok]]
+
+
+def _best(pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(id, other, cosine): the ``k`` best of every id on either side."""
+    a, b, c = (np.concatenate(v) for v in zip(*pairs))
+    p = pd.DataFrame({"id": np.concatenate([a, b]), "other": np.concatenate([b, a]), "cosine": np.concatenate([c, c])}).drop_duplicates(["id", "other"])
+    p = p.sort_values(["id", "cosine", "other"], ascending=[True, False, True]).groupby("id").head(k)
+    return p["id"].to_numpy(object), p["other"].to_numpy(object), p["cosine"].to_numpy()
+
+
+def all_pairs(df: DataFrame, k: int = K, min_cosine: float = MIN_COSINE, dim: int = DIM) -> DataFrame:
+    """(id, other, cosine): of all pairs of different records with at least ``min_cosine`` those among the ``k`` best of
+    either id, in both directions, and perhaps more. See the module for why none is left out.
+
+    Each task takes one part of the lists and reads the others from shared storage, so the vectors are shuffled once. It
+    gives on the ``k`` best of every id on either side of its pairs, which holds the ``k`` best of all tasks.
+    """
+    spark = df.sparkSession
+    rows = df.where("id is not null and embedding is not null")
+    n = rows.count()
+    want = min(8 * cells_for(n), SAMPLE_ROWS)
+
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in np.unique(unit_rows(batch.column(0), dim)[1], axis=0)], pa.binary())], names=["vec"])
+
+    some = rows if n <= want else rows.where(F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) < int(want / n * (1 << 30)))
+    # Bounded: SAMPLE_ROWS vectors, which only place the pivots.
+    taken = [_matrix(c, dim) for c in some.select("embedding").mapInArrow(units, "vec binary").toArrow()["vec"].chunks if len(c)]
+    sample = np.unique(np.concatenate(taken), axis=0) if taken else np.eye(1, dim, dtype=np.float32)
+    sample = sample[np.random.default_rng(5).permutation(len(sample))]
+    first, parts = _part_of_cells(centres := _centred(sample, cells_for(n)), sample, n, min(PART_ROWS, max(4_096, n // PARTS)))
+    pivots, where = spark.sparkContext.broadcast(centres), spark.sparkContext.broadcast((first, parts))
+    files = sorted(unquote(urlparse(f).path) for f in written(_listed(df, dim, k, pivots, where), "lists", "part").inputFiles())
+    named = spark.sparkContext.broadcast([(f, int(m[1])) for f in files if (m := re.search(r"/part=(\d+)/", f))])
+    least = min_cosine - 1e-6  # cosines are compared rounded
+    reach = (2 - 2 * least) ** 0.5
+
+    def compared(file: str) -> Iterator[pa.RecordBatch]:
+        piv, (first, parts) = pivots.value, where.value
+
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        rows = 0
+        for home in _parts(file, dim):
+            for name, part in named.value:
+                asked = list(_guests(home, np.nonzero((first <= part) & (part < first + parts))[0], piv, reach))
+                for lists in _parts(name, dim) if asked else ():
+                    tiles = _close(home, lists, asked, least, k)
+                    while some := list(itertools.islice(tiles, 64)):
+                        left, right = (np.concatenate(v) for v in zip(*some))
+                        for w in range(0, len(left), 1 << 15):
+                            x, y = left[w : w + (1 << 15)], right[w : w + (1 << 15)]
+                            cos = np.round((home.doubles(x) * lists.doubles(y)).sum(1), 6)
+                            ok = cos >= min_cosine
+                            held.append((home.ids(x[ok]), lists.ids(y[ok]), cos[ok]))
+                            rows += int(ok.sum())
+                        if rows > 500_000:
+                            held, rows = [_best(held, k)], 0
+        if held:
+            a, b, cos = _best(held, k)
+            yield pa.RecordBatch.from_arrays([pa.array(a.tolist(), pa.string()), pa.array(b.tolist(), pa.string()), pa.array(cos)], names=["id", "other", "cosine"])
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                yield from compared(named.value[i][0])
+
+    found = spark.range(0, len(files), 1, max(1, len(files))).mapInArrow(tasks, "id string, other string, cosine double")
+    return found.groupBy("id", "other").agg(F.max("cosine").alias("cosine"))
+
+
+def near_pairs(df: DataFrame, k: int = K, min_cosine: float = MIN_COSINE, dim: int = DIM, exact: bool = True) -> DataFrame:
     """(id, other, cosine, rank): the nearest vectors of other records with at least ``min_cosine``, up to ``k``."""
+    both = all_pairs(df, k, min_cosine, dim) if exact else indexed_pairs(df, k, min_cosine, dim)
+    ranked = both.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("cosine"), "other")))
+    return ranked.where(F.col("rank") <= k)
+
+
+def indexed_pairs(df: DataFrame, k: int = K, min_cosine: float = MIN_COSINE, dim: int = DIM) -> DataFrame:
+    """(id, other, cosine), both directions: the pairs of at least ``min_cosine`` that the permutation index finds."""
     points = written(_points(df, dim, k), "points")
     found = written(candidates(points, points.count(), dim), "candidates")
     used = broadcast_if_small(found.select(F.explode(F.array("pa", "pb")).alias("pid")).distinct())
@@ -272,9 +495,7 @@ def near_pairs(df: DataFrame, k: int = K, min_cosine: float = MIN_COSINE, dim: i
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok), pa.array(cos).filter(ok)], names=["id_a", "id_b", "cosine"])
 
     exact = pairs.mapInArrow(rerank, "id_a string, id_b string, cosine double")
-    both = exact.select(F.explode(F.array(F.struct(F.col("id_a").alias("id"), F.col("id_b").alias("other"), "cosine"), F.struct(F.col("id_b").alias("id"), F.col("id_a").alias("other"), "cosine"))).alias("p")).select("p.*").distinct()
-    ranked = both.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("cosine"), "other")))
-    return ranked.where(F.col("rank") <= k)
+    return exact.select(F.explode(F.array(F.struct(F.col("id_a").alias("id"), F.col("id_b").alias("other"), "cosine"), F.struct(F.col("id_b").alias("id"), F.col("id_a").alias("other"), "cosine"))).alias("p")).select("p.*").distinct()
 
 
 def mutual_pairs(df: DataFrame, k: int = K, min_cosine: float = MIN_COSINE, dim: int = DIM) -> DataFrame:
@@ -304,7 +525,11 @@ def _centred(x: np.ndarray, count: int, rounds: int = 3) -> np.ndarray:
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, dim)
+    """The vectors of a binary column without nulls, as they lie in its buffer."""
+    if not len(column):
+        return np.zeros((0, dim), np.float32)
+    start = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
+    return np.frombuffer(column.buffers()[2], np.float32, len(column) * dim, int(start)).reshape(-1, dim)
 
 
 class Lists:

@@ -82,3 +82,38 @@ def test_a_long_list_is_divided():
     for a, b in zip(k.tolist(), p.tolist()):
         lists[b].add(a)
     assert np.mean([bool(lists[i] & lists[i + 1500]) for i in range(1500)]) >= 0.95
+
+
+def mutual(ids, recs, x, k=5):
+    near = {i: {o for o, c in v if c >= 0.95} for i, v in brute(ids, recs, x, k).items()}
+    return {(i, o) for i in near for o in near[i] if i < o and i in near[o]}
+
+
+def pairs_of(spark, ids, recs, x):
+    rows = [(i, r, v.tolist()) for i, r, v in zip(ids, recs, x)]
+    return [(r.id_a, r.id_b) for r in vectors.mutual_pairs(spark.createDataFrame(rows, SCHEMA)).collect()]
+
+
+def test_every_pair_at_the_bound(spark):
+    """Pairs whose cosine is just above or below 0.95, in a crowd: the index of pivots alone leaves some out."""
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(2000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    cosine = rng.uniform(0.949, 0.953, len(x))[:, None]
+    x = np.concatenate([x, (cosine * x + np.sqrt(1 - cosine**2) * side) * rng.uniform(0.1, 9, (2000, 1))])
+    ids, recs = [f"v{i:04d}" for i in rng.permutation(4000)], [f"r{i}" for i in range(4000)]
+    got, want = pairs_of(spark, ids, recs, x), mutual(ids, recs, x)
+    assert len(want) > 1000 and len(got) == len(set(got)) and set(got) == want
+
+
+def test_pairs_of_many_close_vectors(spark):
+    """Clusters of nearly equal, of equal and of close vectors: ties go to the smaller id."""
+    rng = np.random.default_rng(22)
+    centres = rng.normal(size=(3, 64))
+    x = np.concatenate([centres[0] + 1e-7 * rng.normal(size=(400, 64)), np.repeat(centres[1:2], 400, 0) * rng.uniform(0.5, 2, (400, 1)), centres[2] + 0.1 * rng.normal(size=(400, 64)), rng.normal(size=(400, 64))])
+    ids, recs = [f"v{i:04d}" for i in rng.permutation(1600)], [f"r{i}" for i in rng.integers(0, 300, 1600)]
+    got, want = pairs_of(spark, ids, recs, x), mutual(ids, recs, x)
+    assert len(got) == len(set(got)) and set(got) == want
